@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +61,16 @@ def texts_of(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+def kept_and(docs: DataFrame, keep: tuple[str, ...] | list[str], ddl: str) -> T.StructType:
+    """Schema of the columns `keep` of docs and those that ddl names."""
+    return T.StructType([*(docs.schema[k] for k in keep), *T.StructType.fromDDL(ddl).fields])
+
+
+def as_rows(docs: DataFrame) -> DataFrame:
+    """own_row (all columns of docs, whatever their names) and text."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("own_row"), F.col("text"))
+
+
 def blocks(n: int, size: int) -> Iterator[slice]:
     for at in range(0, n, size):
         yield slice(at, min(n, at + size))
@@ -81,22 +92,25 @@ def packed(vectors: np.ndarray) -> list[bytes]:
     return [v.tobytes() for v in vectors]
 
 
-def labelled_sample(docs: DataFrame, marks: DataFrame, label: str, most: int, seed: int) -> list:
-    """At most `most` rows (text, label) of each class outside the held-out fifth, picked by a hash of doc_id.
+def sample_by_class(rows: DataFrame, most: int, seed: int) -> list[tuple[str, object]]:
+    """At most `most` (text, label) of each label of rows (doc_id, text, label), picked by a hash of doc_id, in order of doc_id.
 
     One aggregate counts the classes; a hash threshold then keeps the expected share, so no class is gathered whole."""
-    marks = marks.filter(F.col(label).isin(0, 1) & ~is_held_out(F.col("doc_id"))).select("doc_id", F.col(label).alias("label")).dropDuplicates(["doc_id"])
-    counts = {r["label"]: r["n"] for r in marks.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     share = F.lit(0.0)
     for k, n in counts.items():
-        share = F.when(F.col("label") == k, F.lit(min(1.0, most / n))).otherwise(share)
+        share = F.when(F.col("label") == F.lit(k), F.lit(min(1.0, most / n))).otherwise(share)
     position = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    chosen = marks.filter(position < share)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label").collect()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["text"] or ""))
-    kept, seen = [], {}
-    for r in rows:
-        seen[r["label"]] = seen.get(r["label"], 0) + 1
-        if seen[r["label"]] <= most:
-            kept.append((r["text"] or "", int(r["label"])))
+    found = sorted(((r["doc_id"], r["text"] or "", r["label"]) for r in rows.filter(position < share).collect()), key=lambda r: r[:2])
+    kept, seen = [], dict.fromkeys(counts, 0)
+    for _, text, label in found:
+        seen[label] += 1
+        if seen[label] <= most:
+            kept.append((text, label))
     return kept
+
+
+def labelled_texts(docs: DataFrame, marks: DataFrame, label: str) -> DataFrame:
+    """doc_id, text and label (0 or 1) of documents outside the held-out fifth; a document that is marked both ways teaches nothing."""
+    known = marks.filter(F.col(label).isin(0, 1) & ~is_held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("other"))
+    return docs.select("doc_id", "text").join(known.filter(F.col("label") == F.col("other")).drop("other"), "doc_id")
