@@ -4,19 +4,23 @@ from __future__ import annotations
 
 from fjordlake.llm.decontamination import op7_decontamination
 from fjordlake.llm.language import op5_language_id
+from fjordlake.llm.near_duplicates import op1_ngram_jaccard_join
 from fjordlake.llm.packing import op6_packing
 from fjordlake.llm.quality import op2_quality
 from fjordlake.llm.secrets import op3_secrets
 from fjordlake.llm.token_output import op8_token_output
+from fjordlake.llm.top_k import op9_top_k_search
 from fjordlake.llm.toxicity import op10_toxicity
 
 QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_quality": op2_quality,
     "op3_secrets": op3_secrets,
     "op5_language_id": op5_language_id,
     "op6_packing": op6_packing,
     "op7_decontamination": op7_decontamination,
     "op8_token_output": op8_token_output,
+    "op9_top_k_search": op9_top_k_search,
     "op10_toxicity": op10_toxicity,
 }
 
