@@ -3,7 +3,7 @@
 A text is lower-cased, everything but letters becomes a space, and its byte pairs and triples are counted in hashed bins.
 Counts are damped by a logarithm, weighted by inverse document frequency over all training documents and scaled to length 1.
 Each language has several centroids, found by spherical k-means on a bounded sample; the language of the centroid with the
-largest cosine is predicted. A text further from it than almost any training text of about its size is rejected.
+largest cosine is predicted. A text further from it than any text of the sample, by a margin, is rejected.
 
 Rows: a null text, or one without a letter, is `und`, scores 0 and is rejected; rows with equal or null doc_ids are scored
 each for itself; a row with a null doc_id or lang teaches nothing; without training rows all texts are `und`; other columns
@@ -27,8 +27,9 @@ BINS = 1 << BITS
 #: Training documents of each language from which centroids are made, and centroids of each.
 SAMPLE = 500
 CENTROIDS = 4
-#: A text is rejected below this share of the least cosine that the sample shows for its size.
-SLACK = 0.6
+#: A text is rejected below this share of the least cosine that the sample shows; with fewer n-grams than FULL_SIZE, below less.
+SLACK = 0.5
+FULL_SIZE = 256
 UNKNOWN = "und"
 
 _TO_LETTERS = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
@@ -56,17 +57,15 @@ def has_letter(text: str) -> bool:
     return any(c.isalpha() for c in text)
 
 
-def _size_class(counts: np.ndarray) -> np.ndarray:
-    """Power of two of the number of n-grams."""
-    return np.log2(np.maximum(counts.sum(axis=1), 1)).astype(np.int64)
-
-
 @dataclass
 class CentroidModel:
     languages: list[str]  # of each centroid
     centroids: np.ndarray
     idf: np.ndarray
-    least: np.ndarray  # by size class: cosines below are rejected
+    least: float  # cosines below are rejected; for texts of few n-grams, whose cosines are lower, proportionally less
+
+    def reject_below(self, counts: np.ndarray) -> np.ndarray:
+        return self.least * np.sqrt(np.minimum(counts.sum(axis=1) / FULL_SIZE, 1))
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         weighted = np.log1p(counts) * self.idf
@@ -87,7 +86,7 @@ class CentroidModel:
             score = np.where(known, np.clip(cosines[np.arange(len(some)), best], 0, 1), 0)
             names += [self.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
             scores[at : at + len(some)] = score
-            rejected[at : at + len(some)] = ~known | (score < self.least[np.minimum(_size_class(counts), len(self.least) - 1)])
+            rejected[at : at + len(some)] = ~known | (score < self.reject_below(counts))
         return names, scores, rejected
 
 
@@ -128,7 +127,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Ce
     training = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~is_held_out(F.col("doc_id")))
     frequencies, n = document_frequencies(training)
     idf = np.log((1 + n) / (1 + frequencies)).astype(np.float32) + 1
-    model = CentroidModel([], np.zeros((0, BINS), np.float32), idf, np.zeros(1))
+    model = CentroidModel([], np.zeros((0, BINS), np.float32), idf, 0.0)
     rows = [(t, lang) for t, lang in sample_by_class(training.select("doc_id", "text", F.col("lang").alias("label")), sample, seed=5) if has_letter(t)]
     if not rows:
         return model
@@ -141,9 +140,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Ce
         found.append(own)
         model.languages += [lang] * len(own)
     model.centroids = np.vstack(found).astype(np.float32)
-    nearest, sizes = (vectors @ model.centroids.T).max(axis=1), _size_class(counts)
-    least = np.array([nearest[sizes <= s].min(initial=1.0) if s < 6 else nearest[sizes >= s].min(initial=1.0) for s in range(24)])
-    model.least = SLACK * np.minimum.accumulate(least[::-1])[::-1]  # larger texts are never judged more mildly
+    nearest = (vectors @ model.centroids.T).max(axis=1)
+    model.least = SLACK * float(nearest.min())
     return model
 
 
