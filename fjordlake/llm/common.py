@@ -92,25 +92,38 @@ def packed(vectors: np.ndarray) -> list[bytes]:
     return [v.tobytes() for v in vectors]
 
 
-def sample_by_class(rows: DataFrame, most: int, seed: int) -> list[tuple[str, object]]:
-    """At most `most` (text, label) of each label of rows (doc_id, text, label), picked by a hash of doc_id, in order of doc_id.
+def _share_of(ids: DataFrame, most: int, seed: int) -> tuple[DataFrame, dict]:
+    """Rows of ids (doc_id, label, ...) that a hash of doc_id picks, about `most` of each label, and the labels' counts.
 
-    One aggregate counts the classes; a hash threshold then keeps the expected share, so no class is gathered whole."""
-    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    One aggregate counts the labels; the hash threshold then keeps the expected share, so no class is gathered whole."""
+    counts = {r["label"]: r["n"] for r in ids.groupBy("label").agg(F.count("*").alias("n")).collect()}
     share = F.lit(0.0)
     for k, n in counts.items():
         share = F.when(F.col("label") == F.lit(k), F.lit(min(1.0, most / n))).otherwise(share)
     position = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    found = sorted(((r["doc_id"], r["text"] or "", r["label"]) for r in rows.filter(position < share).collect()), key=lambda r: r[:2])
+    return ids.filter(position < share), counts
+
+
+def _at_most(rows: list, counts: dict, most: int) -> list[tuple[str, object]]:
+    """(text, label) of the first `most` rows of each label, in order of doc_id."""
     kept, seen = [], dict.fromkeys(counts, 0)
-    for _, text, label in found:
+    for _, text, label in sorted(((r["doc_id"], r["text"] or "", r["label"]) for r in rows), key=lambda r: r[:2]):
         seen[label] += 1
         if seen[label] <= most:
             kept.append((text, label))
     return kept
 
 
-def labelled_texts(docs: DataFrame, marks: DataFrame, label: str) -> DataFrame:
-    """doc_id, text and label (0 or 1) of documents outside the held-out fifth; a document that is marked both ways teaches nothing."""
+def sample_by_class(rows: DataFrame, most: int, seed: int) -> list[tuple[str, object]]:
+    """At most `most` (text, label) of each label of rows (doc_id, text, label)."""
+    chosen, counts = _share_of(rows, most, seed)
+    return _at_most(chosen.collect(), counts, most)
+
+
+def labelled_sample(docs: DataFrame, marks: DataFrame, label: str, most: int, seed: int) -> list[tuple[str, int]]:
+    """At most `most` (text, label) for each of the labels 0 and 1 that marks gives documents outside the held-out fifth.
+
+    A document that is marked both ways teaches nothing. Only the chosen ids, about twice `most`, are broadcast."""
     known = marks.filter(F.col(label).isin(0, 1) & ~is_held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("other"))
-    return docs.select("doc_id", "text").join(known.filter(F.col("label") == F.col("other")).drop("other"), "doc_id")
+    chosen, counts = _share_of(known.filter(F.col("label") == F.col("other")).drop("other"), most, seed)
+    return _at_most(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").collect(), counts, most)

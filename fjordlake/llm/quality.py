@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fjordlake.llm.common import documents, is_held_out, kept_and, labelled_texts, labels, sample_by_class, texts_of
+from fjordlake.llm.common import documents, is_held_out, kept_and, labelled_sample, labels, texts_of
 
 FILTERS = 24
 WIDTH = 6
@@ -127,7 +127,7 @@ def train(rows: list[tuple[str, int]], epochs: int = 6, batch: int = 48, rate: f
 
 
 def fit(docs: DataFrame, marks: DataFrame, sample: int = SAMPLE) -> ByteNetwork:
-    return train(sample_by_class(labelled_texts(docs, marks, "quality"), sample, seed=2))
+    return train(labelled_sample(docs, marks, "quality", sample, seed=2))
 
 
 def score_quality(docs: DataFrame, network: ByteNetwork, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

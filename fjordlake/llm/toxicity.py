@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fjordlake.llm.common import blocks_by_size, documents, is_held_out, kept_and, labelled_texts, labels, sample_by_class, texts_of
+from fjordlake.llm.common import blocks_by_size, documents, is_held_out, kept_and, labelled_sample, labels, texts_of
 
 BITS = 17
 SIZES = (3, 4, 5)
@@ -27,7 +27,7 @@ DIMENSIONS = 8
 #: Words of a stretch.
 STRETCH = 3
 #: Labelled documents of each kind from which the model learns.
-SAMPLE = 2500
+SAMPLE = 1800
 
 _M = np.array([2654435761, 2246822519, 3266489917, 668265263, 374761393], np.uint32)
 _ASCII_WORD = np.array([chr(c).isalnum() and c < 128 for c in range(128)])
@@ -141,7 +141,7 @@ def train(rows: list[tuple[str, int]], rounds: int = 70, rate: float = 0.08, see
     weights = random.normal(0, 0.5, DIMENSIONS).astype(np.float32)
     bias = 0.0
     used = np.unique(grams)
-    share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))  # both kinds weigh the same
+    share = np.where(y == 1, 0.4 / y.sum(), 0.6 / (len(y) - y.sum()))  # clean documents weigh a little more
     moments = [np.zeros((len(used), DIMENSIONS), np.float32), np.zeros((len(used), DIMENSIONS), np.float32), np.zeros(DIMENSIONS), np.zeros(DIMENSIONS), 0.0, 0.0]
 
     def adam(k: int, gradient, step: int):
@@ -167,7 +167,7 @@ def train(rows: list[tuple[str, int]], rounds: int = 70, rate: float = 0.08, see
 
 
 def fit(docs: DataFrame, marks: DataFrame, sample: int = SAMPLE) -> StretchModel:
-    return train(sample_by_class(labelled_texts(docs, marks, "toxic"), sample, seed=10))
+    return train(labelled_sample(docs, marks, "toxic", sample, seed=10))
 
 
 def score_toxicity(docs: DataFrame, model: StretchModel, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
