@@ -36,7 +36,7 @@ def applied(events: DataFrame, state: DataFrame | None = None, scalars: tuple[st
     events: external_id, seq, version, source_event_id and scalars. state: a former result; its rows come first, as `stored`."""
     own = events.select("external_id", "seq", "version", "source_event_id", *(_blank(events, c) for c in scalars), F.lit(False).alias("stored"))
     if state is not None:
-        old = state.select("external_id", F.lit(None).cast("long").alias("seq"), F.col("source_event_version").alias("version"), "source_event_id", *scalars, F.lit(True).alias("stored"))
+        old = state.select("external_id", F.lit(None).cast(dict(events.dtypes)["seq"]).alias("seq"), F.col("source_event_version").alias("version"), "source_event_id", *scalars, F.lit(True).alias("stored"))
         own = own.unionByName(old)
     key = Window.partitionBy("external_id").orderBy(F.desc("stored"), "seq")
     so_far, before = key.rowsBetween(Window.unboundedPreceding, 0), key.rowsBetween(Window.unboundedPreceding, -1)
