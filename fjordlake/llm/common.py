@@ -6,8 +6,8 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,9 +71,16 @@ def as_rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("own_row"), F.col("text"))
 
 
-def blocks(n: int, size: int) -> Iterator[slice]:
-    for at in range(0, n, size):
-        yield slice(at, min(n, at + size))
+#: Bytes of text or ids that a Python worker unpacks at a time; a larger row stands alone.
+AT_ONCE = 4_000_000
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], column: int, most: int = AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """The batches in slices that hold about `most` bytes in a column, so that what a worker unpacks stays small."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        for part in blocks_by_size(sizes, most):
+            yield batch.slice(part.start, part.stop - part.start)
 
 
 def blocks_by_size(sizes: list[int], most: int) -> Iterator[slice]:
@@ -88,10 +95,6 @@ def blocks_by_size(sizes: list[int], most: int) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
-def packed(vectors: np.ndarray) -> list[bytes]:
-    return [v.tobytes() for v in vectors]
-
-
 def _share_of(ids: DataFrame, most: int, seed: int) -> tuple[DataFrame, dict]:
     """Rows of ids (doc_id, label, ...) that a hash of doc_id picks, about `most` of each label, and the labels' counts.
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fjordlake.llm.common import as_rows, documents, kept_and, texts_of, written
+from fjordlake.llm.common import as_rows, documents, kept_and, small_batches, texts_of, written
 
 WINDOW = 10
 BLOCK = 2
@@ -102,7 +102,7 @@ def _search(docs: DataFrame, tables, keys: list[str]) -> DataFrame:
     """Findings of each row; docs has the columns `keys` and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, len(keys)):
             found = [_found(text, tables.value) for text in texts_of(batch.column(len(keys)))]
             n, starts, ends, items = zip(*found) if found else ((), (), (), ())
             own = [batch.column(i) for i in range(len(keys))]

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fjordlake.llm.common import as_rows, documents, is_held_out, kept_and, sample_by_class
+from fjordlake.llm.common import as_rows, documents, is_held_out, kept_and, sample_by_class, small_batches
 
 BITS = 12
 BINS = 1 << BITS
@@ -109,7 +109,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(BINS, np.int64), 0
-        for batch in batches:
+        for batch in small_batches(batches, 0):
             texts = [t or "" for t in batch.column(0).to_pylist()]
             for at in range(0, len(texts), 256):
                 total += (counts_of(texts[at : at + 256]) > 0).sum(axis=0)
@@ -149,7 +149,7 @@ def identify(docs: DataFrame, model: CentroidModel, keep: tuple[str, ...] = ("do
     """The columns `keep`, lang_pred, score and rejected of each row of docs."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, len(keep)):
             names, scores, rejected = shared.value.predict([t or "" for t in batch.column(len(keep)).to_pylist()])
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(names, pa.string()), pa.array(scores), pa.array(rejected)], [*keep, "lang_pred", "score", "rejected"])
 

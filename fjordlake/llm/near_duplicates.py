@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fjordlake.llm.common import blocks_by_size, documents, texts_of, written
+from fjordlake.llm.common import blocks_by_size, documents, small_batches, texts_of, written
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -98,7 +98,7 @@ def signatures(docs: DataFrame, words: int, rows: int, bands: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _factors(rows * bands)
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             keys, found = [], []
             for grams in n_gram_sets(texts_of(batch.column(1)), words):
                 keys.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fjordlake.llm.common import documents, shuffle_partitions, texts_of, written
+from fjordlake.llm.common import documents, shuffle_partitions, small_batches, texts_of, written
 from fjordlake.llm.tokens import encoder
 
 WINDOW = 1024
@@ -91,7 +91,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, drops_space: bool) -
         part, row = TaskContext.get().partitionId(), 0
         tokens = encoder(tokenizer, drops_space)
         end = np.array([end_id], tokens.type).tobytes()
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             own = [x + end for x in tokens.encode_all(texts_of(batch.column(1)))]
             if own:
                 yield pa.RecordBatch.from_pydict({"part": pa.array([part] * len(own), pa.int32()), "row": pa.array(range(row, row + len(own)), pa.int64()), "doc_id": batch.column(0), "n": pa.array([len(x) // tokens.width for x in own], pa.int64()), "width": pa.array([tokens.width] * len(own), pa.int32()), "ids": pa.array(own, pa.binary())})
@@ -158,7 +158,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, window: int = WINDOW,
             length -= size
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, 7):
             out: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")}
             for r in batch.to_pylist():
                 n, left, rank = r["n"], r["left"], r["rank"]

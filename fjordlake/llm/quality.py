@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fjordlake.llm.common import documents, is_held_out, kept_and, labelled_sample, labels, texts_of
+from fjordlake.llm.common import documents, is_held_out, kept_and, labelled_sample, labels, small_batches, texts_of
 
 FILTERS = 24
 WIDTH = 6
@@ -135,7 +135,7 @@ def score_quality(docs: DataFrame, network: ByteNetwork, keep: tuple[str, ...] =
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, len(keep)):
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(shared.value.score(texts_of(batch.column(len(keep)))))], [*keep, "score"])
 
     return docs.select(*keep, "text").mapInArrow(run, kept_and(docs, keep, "score double"))

@@ -20,8 +20,8 @@ ODD_SPACE = re.compile(r"[^\S \n]")
 #: Marks that may follow a word and are pieces of their own.
 MARKS = ".,;:!?&%$#*|)"
 #: Pieces that a worker keeps, about 200 bytes each, and characters that it encodes at a time.
-CACHE = 800_000
-BLOCK = 12_000_000
+CACHE = 400_000
+BLOCK = 4_000_000
 
 
 class PieceEncoder:
