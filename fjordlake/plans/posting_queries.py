@@ -284,7 +284,7 @@ def _(spark, sf_dir):
     return serving.job_stats(postings(spark, sf_dir), today(), now())
 
 
-@query("list_since", f"SELECT external_id, epoch_us(changed_at) AS changed_at FROM (SELECT *, greatest(updated_at, nav_event_modified_at) AS changed_at FROM ({X.POSTINGS}) p) x WHERE (changed_at, external_id) > (TIMESTAMP '2024-01-10 00:00:00', 'j5') ORDER BY changed_at, external_id LIMIT 200")
+@query("list_since", f"SELECT external_id, epoch_us(changed_at) AS changed_at FROM (SELECT *, greatest(updated_at, nav_event_modified_at) AS changed_at FROM ({X.POSTINGS}) p) x WHERE changed_at IS NOT NULL AND (changed_at, external_id) > (TIMESTAMP '2024-01-10 00:00:00', 'j5') ORDER BY changed_at, external_id LIMIT 200")
 def _(spark, sf_dir):
     found = serving.list_since(postings(spark, sf_dir), F.lit("2024-01-10 00:00:00").cast("timestamp"), "j5", 200)
     return found.select("external_id", us("changed_at").alias("changed_at"))
