@@ -22,6 +22,8 @@ from fjordlake.llm.tokens import encoder
 
 #: Ids at which a chunk is closed.
 CHUNK = 1 << 18
+#: File parts, 12 bytes each, up to which their sizes are broadcast; beyond, they are joined by a shuffle.
+BROADCAST_PARTS = 100_000
 
 CHUNK_SCHEMA = "part int, chunk int, part_start long, n_ids long, doc_ids array<long>, lengths array<long>, blocks binary, words binary"
 
@@ -82,7 +84,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     # one row for each file part, however long the parts are
     parts = chunks.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
     pieces = chunks.select("part", "part_start", "n_ids", "doc_ids", "lengths", "blocks", "words").mapInArrow(take_apart, "doc_id long, local_start long, n_tokens long, ids binary, part int")
-    return pieces.join(parts, "part").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids")
+    few = parts.count() <= BROADCAST_PARTS
+    return pieces.join(F.broadcast(parts) if few else parts, "part").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids")
 
 
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:

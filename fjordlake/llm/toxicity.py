@@ -27,7 +27,9 @@ DIMENSIONS = 8
 #: Words of a stretch.
 STRETCH = 3
 #: Labelled documents of each kind from which the model learns.
-SAMPLE = 1800
+SAMPLE = 2500
+#: Texts of the sample in which an n-gram must occur; a twentieth of the toxic ones, if that is less.
+LEAST_TEXTS = 15
 
 _M = np.array([2654435761, 2246822519, 3266489917, 668265263, 374761393], np.uint32)
 _ASCII_WORD = np.array([chr(c).isalnum() and c < 128 for c in range(128)])
@@ -121,7 +123,8 @@ def train(rows: list[tuple[str, int]], rounds: int = 70, rate: float = 0.08, see
     for text, _ in rows:
         clean = "".join(c if c.isalnum() else " " for c in text.lower())
         text_words.append([words.setdefault(w, len(words)) for w in clean.split()])
-    tokens = np.concatenate([np.array(t, np.int64) for t in text_words])
+    tokens = np.concatenate([np.array(t, np.int32) for t in text_words])
+    texts_with = np.bincount(np.concatenate([np.unique(np.array(t, np.int32)) for t in text_words]), minlength=len(words))
     first_word = np.concatenate(([0], np.cumsum([len(t) for t in text_words])))
     bins, valid, first, past, starts = n_grams(list(words))
     # a listed word may hold characters that part it; all its parts' n-grams are its own
@@ -130,17 +133,17 @@ def train(rows: list[tuple[str, int]], rounds: int = 70, rate: float = 0.08, see
     for size, b, v in zip(SIZES, bins, valid):
         part_of = np.searchsorted(first, np.arange(len(b)) + 1, "right") - 1
         own = np.flatnonzero(v & (part_of >= 0))
-        grams.append(b[own].astype(np.int64))
-        owners.append(owner_of_part[part_of[own]])
+        grams.append(b[own].astype(np.int32))
+        owners.append(owner_of_part[part_of[own]].astype(np.int32))
+    del bins, valid, first, past, part_of
     grams, owners = np.concatenate(grams), np.concatenate(owners)
-    order = np.argsort(owners, kind="stable")
-    grams, owners = grams[order], owners[order]
     count = np.maximum(np.bincount(owners, minlength=len(words)), 1)
     random = np.random.default_rng(seed)
     vectors = random.normal(0, 0.1, (1 << BITS, DIMENSIONS)).astype(np.float32)
     weights = random.normal(0, 0.5, DIMENSIONS).astype(np.float32)
     bias = 0.0
-    used = np.unique(grams)
+    used = np.flatnonzero(np.bincount(grams, texts_with[owners], 1 << BITS) >= min(LEAST_TEXTS, max(2, int(y.sum()) // 20)))
+    vectors[np.setdiff1d(np.arange(1 << BITS), used)] = 0  # what is too rare to learn from says nothing
     share = np.where(y == 1, 0.4 / y.sum(), 0.6 / (len(y) - y.sum()))  # clean documents weigh a little more
     moments = [np.zeros((len(used), DIMENSIONS), np.float32), np.zeros((len(used), DIMENSIONS), np.float32), np.zeros(DIMENSIONS), np.zeros(DIMENSIONS), 0.0, 0.0]
 
