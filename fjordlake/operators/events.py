@@ -39,9 +39,9 @@ def normalize_events(items: DataFrame, base_url: str) -> DataFrame:
         L.blank_to_null(entry["municipal"]).alias("location"),
         F.col("event_status").alias("status"),
         L.resolve_url(F.col("url"), base_url).alias("url"),
-        F.col("version").alias("date_modified"), F.col("version").alias("nav_event_modified_at"), "version",
+        F.col("version").alias("date_modified"), F.col("version").alias("event_modified_at"), "version",
         L.safe_timestamp(content("published")).alias("published_at"), L.safe_timestamp(content("expires")).alias("expires_at"), L.safe_date(content("applicationDue")).alias("application_due"),
-        F.to_json(F.struct("id", "url", "date_modified", "_feed_entry", detail.alias("nav_detail"), F.col("event_status").alias("last_nav_status"))).alias("raw_payload"),
+        F.to_json(F.struct("id", "url", "date_modified", "_feed_entry", detail.alias("detail"), F.col("event_status").alias("last_status"))).alias("raw_payload"),
         L.source_event_id(F.col("external_id"), F.col("event_status"), L.utc_text(F.col("version"))).alias("source_event_id"),
     )
 

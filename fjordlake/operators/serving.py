@@ -14,7 +14,7 @@ def _is_valid(today: Column) -> Column:
 
 
 def _is_stale(today: Column, now: Column) -> Column:
-    late = F.col("published_at").isNull() | (F.col("application_due") < today) | (F.col("nav_event_modified_at") < now - F.expr("INTERVAL 90 DAYS"))
+    late = F.col("published_at").isNull() | (F.col("application_due") < today) | (F.col("event_modified_at") < now - F.expr("INTERVAL 90 DAYS"))
     return (F.col("status") == "ACTIVE") & F.coalesce(late, F.lit(False))
 
 
@@ -35,7 +35,7 @@ def changed_at(*columns: str) -> Column:
     return F.greatest(*(F.col(c) for c in columns))
 
 
-def list_since(state: DataFrame, since: Column, after_id: str = "", limit: int | None = 500, clocks: tuple[str, ...] = ("updated_at", "nav_event_modified_at")) -> DataFrame:
+def list_since(state: DataFrame, since: Column, after_id: str = "", limit: int | None = 500, clocks: tuple[str, ...] = ("updated_at", "event_modified_at")) -> DataFrame:
     """The next page behind the cursor (since, after_id). The plain comparison repeats what the tuple implies, for pushdown."""
     rows = state.withColumn("changed_at", changed_at(*clocks))
     past = F.struct(F.col("changed_at"), F.col("external_id")) > F.struct(since.alias("changed_at"), F.lit(after_id).alias("external_id"))

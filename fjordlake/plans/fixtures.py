@@ -59,7 +59,7 @@ EVENTS = f"""SELECT e.*, concat(external_id, ':', status, ':', coalesce(CAST(eve
 SCALARS = ("title", "company_name", "location", "url", "status", "published_at", "expires_at", "application_due", "detail")
 
 #: A posting for each key: its newest event.
-POSTINGS = f"""SELECT external_id, title, company_name, location, url, status, published_at, expires_at, application_due, detail, version AS source_event_version, source_event_id, seq, version AS nav_event_modified_at, updated_at FROM (
+POSTINGS = f"""SELECT external_id, title, company_name, location, url, status, published_at, expires_at, application_due, detail, version AS source_event_version, source_event_id, seq, version AS event_modified_at, updated_at FROM (
 SELECT e.*, version + INTERVAL 1 DAY AS updated_at, row_number() OVER (PARTITION BY external_id ORDER BY seq DESC) AS nth FROM ({EVENTS}) AS e) AS p WHERE nth = 1"""
 
 RETRY = """SELECT concat('o', CAST(o_orderkey AS STRING)) AS external_id, CASE WHEN o_orderkey % 12 >= 10 THEN 'abandoned' WHEN o_orderkey % 5 = 0 THEN 'resolved' ELSE 'pending' END AS status, CAST(o_orderkey % 12 AS INT) AS attempt_count, CAST(o_orderdate AS TIMESTAMP) AS next_attempt_at FROM orders"""

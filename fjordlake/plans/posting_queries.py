@@ -158,7 +158,7 @@ def _(spark, sf_dir):
 @query("rich_merge_payloads")
 def _(spark, sf_dir):
     found = feed(spark, sf_dir)
-    payload = F.to_json(F.struct("title", "location", F.struct("company_name", "detail").alias("nav_detail")))
+    payload = F.to_json(F.struct("title", "location", F.struct("company_name", "detail").alias("detail")))
     return merge.merged_payloads(found.select("external_id", "seq", F.lit("merge").alias("action"), payload.alias("raw_payload")))
 
 
@@ -266,7 +266,7 @@ def _(spark, sf_dir):
 
 
 _VALID = f"(status = 'ACTIVE' AND published_at IS NOT NULL AND (application_due IS NULL OR application_due >= {_TODAY}))"
-_STALE = f"(status = 'ACTIVE' AND (published_at IS NULL OR application_due < {_TODAY} OR nav_event_modified_at < {_NOW} - INTERVAL 90 DAY))"
+_STALE = f"(status = 'ACTIVE' AND (published_at IS NULL OR application_due < {_TODAY} OR event_modified_at < {_NOW} - INTERVAL 90 DAY))"
 
 
 @query("valid_jobs", f"SELECT external_id, title, epoch_us(published_at) AS published_at FROM ({X.POSTINGS}) p WHERE {_VALID}")
@@ -284,7 +284,7 @@ def _(spark, sf_dir):
     return serving.job_stats(postings(spark, sf_dir), today(), now())
 
 
-@query("list_since", f"SELECT external_id, epoch_us(changed_at) AS changed_at FROM (SELECT *, greatest(updated_at, nav_event_modified_at) AS changed_at FROM ({X.POSTINGS}) p) x WHERE changed_at IS NOT NULL AND (changed_at, external_id) > (TIMESTAMP '2024-01-10 00:00:00', 'j5') ORDER BY changed_at, external_id LIMIT 200")
+@query("list_since", f"SELECT external_id, epoch_us(changed_at) AS changed_at FROM (SELECT *, greatest(updated_at, event_modified_at) AS changed_at FROM ({X.POSTINGS}) p) x WHERE changed_at IS NOT NULL AND (changed_at, external_id) > (TIMESTAMP '2024-01-10 00:00:00', 'j5') ORDER BY changed_at, external_id LIMIT 200")
 def _(spark, sf_dir):
     found = serving.list_since(postings(spark, sf_dir), F.lit("2024-01-10 00:00:00").cast("timestamp"), "j5", 200)
     return found.select("external_id", us("changed_at").alias("changed_at"))
