@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from fjordlake.llm import simple8b
 from fjordlake.llm.common import documents, new_folder, small_batches, texts_of
-from fjordlake.llm.tokens import encoder
+from fjordlake.llm.tokens import BLOCK, encoder
 
 #: Ids at which a chunk is closed.
 CHUNK = 1 << 18
@@ -53,7 +53,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, drops_
             ids.clear()
             return pa.RecordBatch.from_pydict(row, schema=pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("part_start", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("blocks", pa.binary()), ("words", pa.binary())]))
 
-        for batch in small_batches(batches, 1):
+        for batch in small_batches(batches, 1, BLOCK):
             for doc_id, own in zip(batch.column(0).to_pylist(), tokens.encode_all(texts_of(batch.column(1)))):
                 doc_ids.append(doc_id)
                 ids.append(own + end)

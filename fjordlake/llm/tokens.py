@@ -19,9 +19,9 @@ from fjordlake.llm.common import blocks_by_size
 ODD_SPACE = re.compile(r"[^\S \n]")
 #: Marks that may follow a word and are pieces of their own.
 MARKS = ".,;:!?&%$#*|)"
-#: Pieces that a worker keeps, about 200 bytes each, and characters that it encodes at a time.
-CACHE = 400_000
-BLOCK = 4_000_000
+#: Pieces that a worker keeps twice over, about 200 bytes each, and characters that it encodes at a time.
+CACHE = 350_000
+BLOCK = 8_000_000
 
 
 class PieceEncoder:
@@ -41,6 +41,7 @@ class PieceEncoder:
         self.type = np.dtype("<u2" if self.width == 2 else "<u4")
         self.most = cache
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the last full cache; what is used of it again moves on
         self.marks: dict[str, bytes] = {}
         self.line_feed = np.frombuffer(self.encode_each(["\n"])[0], self.type)
         names = [self.library.id_to_token(i) or "" for i in range(n)]
@@ -78,8 +79,9 @@ class PieceEncoder:
             if not word.isalpha() or (lead == "\n" and len(self.line_feed) != 1):
                 others.append(p)
                 continue
-            if stem in self.cache:
-                found[stem] = self.cache[stem]
+            known = self.cache.get(stem) or self.older.get(stem)
+            if known is not None:
+                found[stem] = known
             else:
                 stems[lead][word] = None
             if len(stem) < len(p):
@@ -93,10 +95,12 @@ class PieceEncoder:
         for p, stem, mark in put_together:
             found[p] = found[stem] + self.marks[mark]
         found.update(zip(others, self.encode_each([p if self.drops_space or p[:1] == "\n" else " " + p for p in others])))
+        return found
+
+    def _keep(self, found: dict[str, bytes]) -> None:
         if len(self.cache) + len(found) > self.most:
-            self.cache.clear()
+            self.older, self.cache = self.cache, {}
         self.cache.update(found)
-        return found
 
     @staticmethod
     def _simple(text: str) -> bool:
@@ -131,14 +135,20 @@ class PieceEncoder:
             self.cache[""] = b""  # what precedes the first piece
         ids = list(map(self.cache.get, pieces))
         if missing := [p for p, x in zip(pieces, ids) if x is None]:
-            found = self._learn(missing)
+            found = {p: x for p in missing if (x := self.older.get(p)) is not None}
+            found |= self._learn([p for p in missing if p not in found])
             ids = [found[p] if x is None else x for p, x in zip(pieces, ids)]
+            self._keep(found)
+        # a block has far fewer than 2^31 ids, unless one text alone does
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
-        starts = np.cumsum(lengths) - lengths
         codes = words.indices.to_numpy(zero_copy_only=False)
         each = lengths[codes]
         ends = np.cumsum(each)
-        flat = np.frombuffer(b"".join(ids), self.type)[np.repeat(starts[codes] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
+        total = int(ends[-1]) if len(ends) else 0
+        small = np.int32 if total < 1 << 31 else np.int64
+        place = np.repeat(((np.cumsum(lengths) - lengths)[codes] - (ends - each)).astype(small), each)
+        place += np.arange(total, dtype=small)
+        flat = np.frombuffer(b"".join(ids), self.type)[place]
         bounds = np.concatenate(([0], ends))[lists.offsets.to_numpy()].tolist()
         skip = 0 if self.drops_space else len(self.line_feed)
         return [flat[a + skip : b].tobytes() for a, b in zip(bounds, bounds[1:])]
