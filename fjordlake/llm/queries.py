@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from fjordlake.llm.decontamination import op7_decontamination
 from fjordlake.llm.language import op5_language_id
+from fjordlake.llm.licenses import op4_license_scans
 from fjordlake.llm.near_duplicates import op1_ngram_jaccard_join
 from fjordlake.llm.packing import op6_packing
 from fjordlake.llm.quality import op2_quality
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_quality": op2_quality,
     "op3_secrets": op3_secrets,
+    "op4_license_scans": op4_license_scans,
     "op5_language_id": op5_language_id,
     "op6_packing": op6_packing,
     "op7_decontamination": op7_decontamination,
