@@ -10,8 +10,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fjordlake.functions import columns as L
 
@@ -171,7 +173,33 @@ def rich_merge_json(payloads: Column) -> Column:
 
 
 def merged_payloads(actions: DataFrame) -> DataFrame:
-    """The rich payload of each key from rows with external_id, seq, action and raw_payload."""
-    kept = actions.filter(F.col("action").isin("insert", "merge", "no_op"))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("seq", "raw_payload"))), lambda x: x["raw_payload"])
-    return kept.groupBy("external_id").agg(ordered.alias("payloads")).select("external_id", rich_merge_json(F.col("payloads")).alias("raw_payload"))
+    """The rich payload of each key from rows with external_id, seq, action and raw_payload.
+
+    Rows of a key come sorted to one task, which carries only the merged object from row to row: the merge is not associative."""
+    kept = actions.filter(F.col("action").isin("insert", "merge", "no_op")).select("external_id", "seq", "raw_payload")
+    schema = T.StructType([kept.schema["external_id"], T.StructField("raw_payload", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import json
+
+        key, out, begun = None, _ABSENT, False
+        text = lambda: json.dumps(out, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+        for batch in batches:
+            done = []
+            for own, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if begun and own != key:
+                    done.append((key, text()))
+                    out = _ABSENT
+                key, begun = own, True
+                out = _richer(out, json.loads(payload) if payload else None)
+            if done:
+                yield _records(done, batch.schema.types[0])
+            last_type = batch.schema.types[0]
+        if begun:
+            yield _records([(key, text())], last_type)
+
+    def _records(rows: list, kind: pa.DataType) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], kind), pa.array([t for _, t in rows], pa.string())], ["external_id", "raw_payload"])
+
+    ordered = kept.repartition("external_id").sortWithinPartitions("external_id", "seq", "raw_payload")
+    return ordered.select("external_id", "raw_payload").mapInArrow(run, schema)
