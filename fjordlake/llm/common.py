@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -27,13 +26,10 @@ def is_held_out(doc_id: Column) -> Column:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the session names in spark.checkpoint.dir; a temporary one only in a local session without it."""
+    """The shared folder that the session names in spark.checkpoint.dir; there is no other."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        path = tempfile.mkdtemp(prefix="fjordlake-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return path.rstrip("/")
 
 
@@ -56,6 +52,25 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Keys with at least one in so many of all rows are joined by broadcast; there are no more than so many of them.
+HOT_KEYS = 1024
+
+
+def join_hot(rows: DataFrame, facts: DataFrame, on: list[str], spread: str, total: int) -> DataFrame:
+    """rows, left-joined with facts (one row a key: the columns `on`, n, which is how many of the `total` rows have it, and others), without n.
+
+    Facts of the few keys that many rows share come by broadcast, and their rows go wherever a hash of the column `spread` sends
+    them; all others meet in a shuffle, where no key weighs much."""
+    values = [c for c in facts.columns if c not in (*on, "n")]
+    hot = facts.filter(F.col("n") * HOT_KEYS >= total).select(*on, F.struct(*values).alias("hot_facts"))
+    place = F.when(F.col("hot_facts").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(spread), F.lit(1 << 20))).cast("int")
+    marked = rows.join(F.broadcast(hot), on, "left").withColumn("hot_place", place)
+    # a place that only looks as if it could vary: a constant would be taken out of the join's keys
+    plain = facts.select(*on, F.when(F.col("n") < 0, F.lit(1)).otherwise(F.lit(0)).cast("int").alias("hot_place"), F.struct(*values).alias("own_facts"))
+    joined = marked.join(plain, [*on, "hot_place"], "left")
+    return joined.select(*rows.columns, *(F.coalesce(F.col("hot_facts")[v], F.col("own_facts")[v]).alias(v) for v in values))
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """A batch's texts; null counts as empty."""
     return [t or "" for t in column.to_pylist()]

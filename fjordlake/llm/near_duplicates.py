@@ -4,15 +4,20 @@
    set form a class, represented by its least doc_id; all further work is on representatives.
 2. MinHash banding: rows a band are fixed, and bands are as many as the target recall at the threshold needs. Classes are
    shuffled on band hashes; each is tied to the least of its bucket, and these ties' connected components hold every pair of
-   classes that share a band. No pair is written out.
-3. Each component's texts meet in one task, or, if it is large, in one task for each pair of its blocks. There every pair is
-   verified on the full n-gram sets, by counting shared n-grams for all pairs at once. A task returns for each class its number
-   of linked documents and one tie to its part of the task's link graph, never the pairs.
-4. Connected components of those ties are the groups.
-
-Rows: one row for each doc_id; rows that share one count as one document with the least of their texts; a row with a null
-doc_id takes no part and comes out with class_id null and n_links 0; null and wordless texts have no n-grams and no links; an
-empty table gives no rows; other columns are ignored by `near_duplicates` and kept by `one_of_each`.
+   classes that share a band. No pair is written out. Components too large for one task are banded anew with more rows a band,
+   which keeps the recall but parts chains of loosely similar texts.
+3. Each component's texts meet in one task, or, if it is still too large, which takes that many texts that are nearly alike, in one
+   task for each pair of its blocks, bounded by bytes and by classes. There every pair is verified on the full n-gram sets, tile by
+   tile, by counting shared n-grams for all pairs of a tile at once. A task returns for each class its number of linked documents
+   and one tie to its part of the task's link graph, never the pairs.
+4. Connected components of those ties are the groups. Wherever many rows share one key (a star's centre, a bucket, a text with
+   many copies), the key's facts come by broadcast, with a bound on the number of such keys, and its rows are spread.
+
+Rows: a row for each row with a doc_id; rows that share one are compared each by its own text, and of equal ones, or ties for
+a group's least doc_id, the one with the least text comes first; a row with a null doc_id takes no part and comes out with class_id
+null and n_links 0; null, empty and wordless texts have no n-grams and no links; a text of any length takes part whole, and alone
+in a block if it is larger than one; an empty table gives no rows; other columns, whatever their names, are ignored by
+`near_duplicates` and kept by `one_of_each`.
 """
 
 from __future__ import annotations
@@ -28,14 +33,19 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fjordlake.llm.common import blocks_by_size, documents, small_batches, texts_of, written
+from fjordlake.llm.common import as_rows, blocks_by_size, documents, join_hot, small_batches, texts_of, written
 
 WORDS = 5
 THRESHOLD = 0.8
 ROWS = 5
 RECALL = 0.9999
-#: Classes that meet in one task; a component with more is cut into blocks of about so many.
-BLOCK = 384
+#: Classes, and bytes of n-gram sets, that meet in one task; a component with more is banded anew, then cut into blocks of about so many.
+BLOCK = 1024
+BLOCK_BYTES = 8 << 20
+#: Rows a band for components that are larger than a block.
+FINE_ROWS = 10
+#: Classes of a tile, whose pairs are verified at once.
+TILE = 384
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
@@ -94,18 +104,19 @@ def _factors(n: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, words: int, rows: int, bands: int) -> DataFrame:
-    """doc_id, key (128-bit hash of the n-gram set; null without n-grams) and bands of each row of docs (doc_id, text); a written table."""
+    """doc_id, key (128-bit hash of the n-gram set; null without n-grams), grams (the set's size) and bands of each row of docs (doc_id, text); a written table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _factors(rows * bands)
         for batch in small_batches(batches, 1):
-            keys, found = [], []
+            keys, found, sizes = [], [], []
             for grams in n_gram_sets(texts_of(batch.column(1)), words):
                 keys.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None)
+                sizes.append(len(grams))
                 found.append(band_hashes(grams, factors, rows) if len(grams) else [])
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "key": pa.array(keys, pa.binary()), "bands": pa.array(found, pa.list_(pa.int64()))})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "key": pa.array(keys, pa.binary()), "grams": pa.array(sizes, pa.int64()), "bands": pa.array(found, pa.list_(pa.int64()))})
 
-    return written(docs.mapInArrow(run, "doc_id long, key binary, bands array<long>"), "signatures")
+    return written(docs.mapInArrow(run, "doc_id long, key binary, grams long, bands array<long>"), "signatures")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -115,14 +126,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = written(edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     while True:
         both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-        large = both.join(least, "a").filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("least").alias("b")).filter(F.col("a") != F.col("b")).distinct()
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"), F.count("*").alias("n"))
+        large = join_hot(both, least, ["a"], "b", 2 * edges.count()).filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("least").alias("b")).filter(F.col("a") != F.col("b")).distinct()
         small_least = large.groupBy("a").agg(F.min("b").alias("least"))
         small = large.join(small_least, "a").select(F.explode(F.array(F.struct("a", F.col("least").alias("b")), F.struct(F.col("b").alias("a"), F.col("least").alias("b")))).alias("e")).select("e.a", "e.b")
         edges = written(small.filter(F.col("a") != F.col("b")).distinct(), "edges")
         nodes = edges.groupBy("a").agg(F.count("*").alias("n"))
         # done when each node has one tie and none of those tied to is tied further
-        if nodes.filter(F.col("n") > 1).isEmpty() and edges.select(F.col("b").alias("a")).join(nodes, "a", "left_semi").isEmpty():
+        if nodes.filter(F.col("n") > 1).isEmpty() and edges.select(F.col("b").alias("a")).distinct().join(nodes, "a", "left_semi").isEmpty():
             break
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
@@ -149,31 +160,54 @@ def _shared_counts(sets: list[np.ndarray], left: int) -> np.ndarray:
     return out
 
 
-def verified(ids: np.ndarray, sides: np.ndarray, copies: np.ndarray, texts: list[str], words: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def _least_in_parts(linked: np.ndarray) -> np.ndarray:
+    """For each node of a symmetric link matrix the least node that links lead to."""
+    root = np.arange(len(linked))
+    while True:
+        new = np.minimum(root, np.where(linked, root[None], len(linked)).min(axis=1, initial=len(linked)))
+        if (new == root).all():
+            return root
+        root = new
+
+
+def verified(ids: np.ndarray, sides: np.ndarray, copies: np.ndarray, texts: list[str], words: int, threshold: float, tile: int = TILE) -> tuple[np.ndarray, np.ndarray]:
     """For each class: the least class that links lead to, and the number of linked documents of other classes.
 
     sides: all 0 to compare all with all, else 0 or 1 to compare across only."""
-    order = np.argsort(sides, kind="stable")
-    sets = n_gram_sets([texts[i] for i in order], words)
-    across = bool(sides.any())
-    left = int((sides == 0).sum())
+    sets = n_gram_sets(texts, words)
     sizes = np.array([len(s) for s in sets], np.float32)
-    shared = _shared_counts(sets, left)
-    linked = np.zeros((len(sets), len(sets)), bool)
-    linked[:left] = shared >= threshold * (sizes[:left, None] + sizes[None] - shared) - 1e-4
-    linked[:left, :left] &= not across
-    linked |= linked.T
-    np.fill_diagonal(linked, False)
-    own = ids[order]
-    n_links = linked @ copies[order]
-    root = own.copy()
-    while True:
-        new = np.minimum(root, np.where(linked, root[None], np.iinfo(np.int64).max).min(axis=1))
-        if (new == root).all():
-            break
-        root = new
-    back = np.argsort(order, kind="stable")
-    return root[back], n_links[back]
+    n_links = np.zeros(len(ids), np.int64)
+    order = np.argsort(ids, kind="stable")
+    above = np.empty(len(ids), np.int64)  # a forest by rank of id, each tree's root being its least
+    above[:] = np.arange(len(ids))
+    rank = np.empty(len(ids), np.int64)
+    rank[order] = np.arange(len(ids))
+
+    def top(x: int) -> int:
+        while above[x] != x:
+            above[x] = above[above[x]]
+            x = int(above[x])
+        return x
+
+    groups = [np.flatnonzero(sides == side) for side in (0, 1)] if sides.any() else [np.arange(len(ids))] * 2
+    tiles = [[g[at : at + tile] for at in range(0, len(g), tile)] for g in groups]
+    for i, left in enumerate(tiles[0]):
+        for right in tiles[1] if sides.any() else tiles[1][i:]:
+            same = left is right or (not sides.any() and left[0] == right[0])
+            both = left if same else np.concatenate([left, right])
+            shared = _shared_counts([sets[x] for x in both], len(left))
+            linked = np.zeros((len(both), len(both)), bool)
+            linked[: len(left)] = shared >= threshold * (sizes[left, None] + sizes[both][None] - shared) - 1e-4
+            if not same:
+                linked[: len(left), : len(left)] = False
+            linked |= linked.T
+            np.fill_diagonal(linked, False)
+            n_links[both] += linked @ copies[both]
+            parts = _least_in_parts(linked)
+            for x in np.flatnonzero(parts != np.arange(len(both))).tolist():
+                a, b = top(int(rank[both[x]])), top(int(rank[both[parts[x]]]))
+                above[max(a, b)] = min(a, b)
+    return ids[order[[top(int(r)) for r in rank]]] if len(ids) else ids, n_links
 
 
 def _verify_groups(words: int, threshold: float):
@@ -210,23 +244,58 @@ def _verify_groups(words: int, threshold: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, rows: int = ROWS, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
+def _ties(marked: DataFrame, classes: int) -> DataFrame:
+    """Ties (a, b) of each row of marked (rep, bands) to the least of each of its buckets."""
+    banded = marked.select("rep", F.posexplode("bands").alias("band", "hash"))
+    buckets = banded.groupBy("band", "hash").agg(F.min("rep").alias("least"), F.count("*").alias("n")).filter(F.col("n") > 1)
+    bands = F.size("bands")
+    total = classes * (marked.agg(F.max(bands)).collect()[0][0] or 1)
+    return join_hot(banded, buckets, ["band", "hash"], "rep", total).filter(F.col("least").isNotNull()).select(F.col("rep").alias("a"), F.col("least").alias("b"))
+
+
+def _sized(components: DataFrame, classes: DataFrame, block: int, block_bytes: int) -> DataFrame:
+    """doc_id, component, copies, parts (number of the component's blocks) and block of each node; a written table."""
+    nodes = components.join(classes.select(F.col("rep").alias("node"), "copies", "grams"), "node")
+    parts = F.ceil(F.greatest(F.count("*") / block, F.sum("grams") * 8 / block_bytes)).cast("int")
+    sizes = nodes.groupBy("component").agg(parts.alias("parts"), F.count("*").alias("n"))
+    placed = join_hot(nodes, sizes, ["component"], "node", components.count())
+    return written(placed.select(F.col("node").alias("doc_id"), "component", "copies", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("block")), "members")
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, rows: int = ROWS, recall: float = RECALL, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, class_id (least doc_id of its group) and n_links (other documents at the threshold or above)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    if not docs.groupBy("doc_id").count().filter("doc_id is not null and count > 1").isEmpty():
-        docs = docs.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("text").alias("text")).unionByName(docs.filter(F.col("doc_id").isNull()))
     known = docs.filter(F.col("doc_id").isNotNull())
+    if known.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        found = _unique_near_duplicates(known, words, threshold, rows, recall, block, block_bytes)
+    else:
+        numbered = _numbered(known)
+        own = _unique_near_duplicates(numbered.select(F.col("row_no").alias("doc_id"), "text"), words, threshold, rows, recall, block, block_bytes)
+        groups = own.groupBy("class_id").agg(F.count("*").alias("n")).join(numbered.select(F.col("row_no").alias("class_id"), F.col("doc_id").alias("least_doc")), "class_id")
+        named = join_hot(own, groups, ["class_id"], "doc_id", numbered.count()).select(F.col("doc_id").alias("row_no"), "least_doc", "n_links")
+        found = numbered.select("row_no", "doc_id").join(named, "row_no").select("doc_id", F.col("least_doc").alias("class_id"), "n_links")
+    unknown = docs.filter(F.col("doc_id").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    return found.unionByName(unknown)
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, text and others) with row_no, which grows with doc_id, then text; a written table."""
+    ordered = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    return written(ordered.withColumn("row_no", F.monotonically_increasing_id()), "numbered")
+
+
+def _unique_near_duplicates(known: DataFrame, words: int, threshold: float, rows: int, recall: float, block: int, block_bytes: int) -> DataFrame:
+    """The same for rows whose doc_ids are unique."""
     marked = signatures(known, words, rows, bands_for(threshold, rows, recall))
-    classes = written(marked.filter(F.col("key").isNotNull()).groupBy("key", "bands").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
+    classes = written(marked.filter(F.col("key").isNotNull()).groupBy("key", "bands", "grams").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
+    members = _sized(connected_components(_ties(classes, classes.count())), classes, block, block_bytes)
 
-    banded = classes.select("rep", F.posexplode("bands").alias("band", "hash"))
-    buckets = banded.groupBy("band", "hash").agg(F.min("rep").alias("least"), F.count("*").alias("n")).filter(F.col("n") > 1).drop("n")
-    ties = banded.join(buckets, ["band", "hash"]).select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    components = written(connected_components(ties), "components")
+    large = members.filter(F.col("parts") > 1).select("doc_id")
+    if not large.isEmpty():
+        fine = signatures(known.join(large, "doc_id"), words, FINE_ROWS, bands_for(threshold, FINE_ROWS, recall)).withColumnRenamed("doc_id", "rep")
+        parted = _sized(connected_components(_ties(fine, fine.count())), classes, block, block_bytes)
+        members = members.filter(F.col("parts") == 1).unionByName(parted)
 
-    sizes = components.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
-    members = components.join(sizes, "component").join(classes.select(F.col("rep").alias("node"), "copies"), "node")
-    members = members.select(F.col("node").alias("doc_id"), "component", "copies", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("block"))
     texts = known.join(members, "doc_id")
     # a class goes to the pair of its own block with each block
     meeting = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.col("doc_id").alias("rep"), "block", "copies", "parts", "text")
@@ -238,21 +307,22 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRE
         wide = connected_components(across)
         links = links.join(wide.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("component", "root"))
     grouped = classes.select("key", "rep", "copies").join(links.select("rep", "root", "n_links"), "rep", "left")
-    by_key = grouped.select("key", F.coalesce("root", "rep").alias("class_id"), (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    found = marked.select("doc_id", "key").join(by_key, "key", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    unknown = docs.filter(F.col("doc_id").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return found.unionByName(unknown)
+    by_key = grouped.select("key", F.coalesce("root", "rep").alias("class_id"), (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.col("copies").alias("n"))
+    found = join_hot(marked.select("doc_id", "key"), by_key, ["key"], "doc_id", marked.count())
+    return found.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:
-    """docs without all but the least doc_id of each group; of rows that share a doc_id one stays, of those without one all."""
-    groups = near_duplicates(docs, **settings)
-    kept = groups.filter(F.col("doc_id") == F.col("class_id")).select("doc_id")
-    rows = docs.filter(F.col("doc_id").isNotNull())
-    stay = rows.join(kept, "doc_id", "left_semi")
-    if not rows.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        stay = stay.dropDuplicates(["doc_id"])
-    return stay.select(*(f"`{c}`" for c in docs.columns)).unionByName(docs.filter(F.col("doc_id").isNull()))
+    """docs without all but the row of least doc_id, then text, of each group; rows without a doc_id all stay."""
+    rows = as_rows(docs).withColumn("doc_id", F.col("own_row.doc_id").cast("long"))
+    known = rows.filter(F.col("doc_id").isNotNull())
+    if known.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        numbered = known.withColumn("row_no", F.col("doc_id"))
+    else:
+        numbered = _numbered(known)
+    groups = near_duplicates(numbered.select(F.col("row_no").alias("doc_id"), "text"), **settings)
+    kept = groups.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("row_no"))
+    return numbered.join(kept, "row_no", "left_semi").select("own_row.*").unionByName(rows.filter(F.col("doc_id").isNull()).select("own_row.*"))
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
