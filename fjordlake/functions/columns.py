@@ -45,14 +45,16 @@ def clamp(n: int | None, default: int, most: int, least: int = 1) -> int:
 
 
 def slug(c: Column) -> Column:
-    """ASCII letters and digits, other runs as one hyphen."""
-    return F.regexp_replace(F.regexp_replace(F.lower(F.trim(c)), "[^a-z0-9]+", "-"), "^-+|-+$", "")
+    """ASCII letters and digits, other runs as one hyphen; `unknown` if there are none."""
+    clean = F.regexp_replace(F.regexp_replace(F.lower(F.trim(c)), "[^a-z0-9]+", "-"), "^-+|-+$", "")
+    return F.when(clean == "", "unknown").otherwise(clean)
 
 
 def unicode_slug(c: Column, most: int = 80) -> Column:
-    """Word characters of any script, other runs as one hyphen, cut at `most`."""
-    clean = F.regexp_replace(F.regexp_replace(F.lower(F.trim(c)), r"(?U)[^\w]+", "-"), "^-+|-+$", "")
-    return F.substring(clean, 1, most)
+    """Word characters of any script; spaces and hyphens become one hyphen, all else goes; cut at `most`; `row` if nothing is left."""
+    worded = F.regexp_replace(F.lower(F.trim(c)), r"(?U)[^\w\s-]", "")
+    clean = F.regexp_replace(F.regexp_replace(worded, r"(?U)[-\s]+", "-"), "^-+|-+$", "")
+    return F.when(clean == "", "row").otherwise(F.substring(clean, 1, most))
 
 
 def sorted_map(m: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fjordlake.functions import columns as L
@@ -46,14 +46,17 @@ def check_duplicate_signatures(obs: DataFrame) -> DataFrame:
 
 
 def validation_report(obs: DataFrame, values: DataFrame) -> DataFrame:
-    """Findings by table and kind with a severity; a table with a hard fail has status failed in all its rows."""
-    kinds = (("missing_labels", "warning", check_missing_labels(obs)), ("missing_dimension_ids", "warning", check_dimension_ids(obs, values)), ("lineage_incomplete", "warning", check_lineage(obs).select("table_id", F.col("incomplete").alias("n"))), ("duplicate_signatures", "hard_fail", check_duplicate_signatures(obs)))
-    out = None
-    for name, severity, frame in kinds:
-        own = frame.filter(F.col("n") > 0).select("table_id", F.lit(name).alias("finding"), F.lit(severity).alias("severity"), F.col("n").cast("long").alias("n"))
-        out = own if out is None else out.unionByName(own)
-    failed = out.filter(F.col("severity") == "hard_fail").select("table_id").distinct().withColumn("failed", F.lit(True))
-    return out.join(failed, "table_id", "left").select("table_id", "finding", "severity", "n", F.when(F.col("failed"), "failed").otherwise("ok").alias("status"))
+    """Findings by table and kind with a severity; a table with a hard fail has status failed in all its rows.
+
+    All checks but that of the catalog come from one pass, which counts by signature first."""
+    repeats = F.when(F.col("observation_signature").isNotNull(), F.col("rows") - 1).otherwise(0)
+    by_signature = obs.groupBy("table_id", "observation_signature").agg(F.count("*").alias("rows"), F.sum(missing_labels()).alias("missing"), F.count_if(~lineage_complete()).alias("incomplete"))
+    counts = by_signature.groupBy("table_id").agg(F.sum("missing").alias("missing_labels"), F.sum("incomplete").alias("lineage_incomplete"), F.sum(repeats).alias("duplicate_signatures"))
+    each = F.array(*(F.struct(F.lit(k).alias("finding"), F.lit(severity).alias("severity"), F.col(k).cast("long").alias("n")) for k, severity in (("missing_labels", "warning"), ("lineage_incomplete", "warning"), ("duplicate_signatures", "hard_fail"))))
+    found = counts.select("table_id", F.explode(each).alias("x")).select("table_id", "x.*")
+    unknown = check_dimension_ids(obs, values).select("table_id", F.lit("missing_dimension_ids").alias("finding"), F.lit("warning").alias("severity"), F.col("n").cast("long").alias("n"))
+    failed = F.max((F.col("severity") == "hard_fail").cast("int")).over(Window.partitionBy("table_id")) == 1
+    return found.unionByName(unknown).filter(F.col("n") > 0).withColumn("status", F.when(failed, "failed").otherwise("ok"))
 
 
 def existing_row_context(store: DataFrame, obs: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from fjordlake.functions import columns as L
 
 ENTRY = "struct<status:string,title:string,businessName:string,municipal:string,sistEndret:string>"
 CONTENT = "struct<published:string,expires:string,updated:string,applicationDue:string>"
+#: Payload keys of the detail, of the last known status and of an inactive event's note.
+DETAIL_KEY, STATUS_KEY, INACTIVE_KEY = "nav_detail", "last_nav_status", "nav_inactive_event"
 ITEM_COLUMNS = ("id", "url", "title", "date_modified", "_feed_entry")
 ITEM_SCHEMA = f"id string, url string, title string, date_modified string, _feed_entry {ENTRY}"
 DETAIL_SCHEMA = f"uuid string, status string, sistEndret string, ad_content {CONTENT}, json {CONTENT}"
@@ -41,7 +43,7 @@ def normalize_events(items: DataFrame, base_url: str) -> DataFrame:
         L.resolve_url(F.col("url"), base_url).alias("url"),
         F.col("version").alias("date_modified"), F.col("version").alias("event_modified_at"), "version",
         L.safe_timestamp(content("published")).alias("published_at"), L.safe_timestamp(content("expires")).alias("expires_at"), L.safe_date(content("applicationDue")).alias("application_due"),
-        F.to_json(F.struct("id", "url", "date_modified", "_feed_entry", detail.alias("detail"), F.col("event_status").alias("last_status"))).alias("raw_payload"),
+        F.to_json(F.struct("id", "url", "date_modified", "_feed_entry", detail.alias(DETAIL_KEY), F.col("event_status").alias(STATUS_KEY))).alias("raw_payload"),
         L.source_event_id(F.col("external_id"), F.col("event_status"), L.utc_text(F.col("version"))).alias("source_event_id"),
     )
 
@@ -56,10 +58,13 @@ def classify_events(events: DataFrame) -> DataFrame:
 
 
 def inactive_event(events: DataFrame, observed_at: str) -> DataFrame:
-    """Events with status INACTIVE; inactive_note says when it was seen and whether the source gave a time."""
+    """Events with status INACTIVE; inactive_note says when it was seen and whether the source gave a time, and goes into a payload, too."""
     note = F.struct(F.lit(observed_at).alias("observed_at"), L.utc_text(F.col("version")).alias("source_event_at"), F.col("version").isNotNull().alias("source_event_at_reliable"))
+    payload = F.col("raw_payload") if "raw_payload" in events.columns else None
+    noted = [] if payload is None else [F.when(payload.endswith("}") & (payload != "{}"), F.concat(F.substring(payload, F.lit(1), F.length(payload) - 1), F.lit(f',"{INACTIVE_KEY}":'), F.to_json(note), F.lit("}"))).otherwise(F.to_json(F.struct(note.alias(INACTIVE_KEY)))).alias("raw_payload")]
     return events.select(
-        *(F.col(c) for c in events.columns if c not in ("status", "source_event_id")),
+        *(F.col(c) for c in events.columns if c not in ("status", "source_event_id", "raw_payload")),
+        *noted,
         F.lit("INACTIVE").alias("status"),
         L.source_event_id(F.col("external_id"), F.lit("INACTIVE"), L.utc_text(F.col("version"))).alias("source_event_id"),
         note.alias("inactive_note"),

@@ -21,15 +21,15 @@ SCALARS = ("title", "company_name", "location", "url", "status", "published_at",
 LOWEST = "timestamp'0001-01-01 00:00:00'"
 
 
-def payload_hash(columns: tuple[str, ...] = SCALARS) -> Column:
-    """Hash of scalars in order, null told apart from text."""
-    return F.md5(F.concat_ws("|", *(F.coalesce(F.concat(F.lit("="), _text(c)), F.lit("-")) for c in columns)))
+def payload_hash(columns: tuple[str, ...], event_at: Column) -> Column:
+    """Hash of a JSON object of scalars and the event's time, so that no two different rows look alike; a payload counts in its canonical form."""
+    return F.md5(L.canonical_json(*(_text(c).alias(c) for c in columns), L.utc_text(event_at).alias("event_at")))
 
 
 def _text(c: str) -> Column:
-    if c.endswith("_at"):
-        return F.unix_micros(F.col(c)).cast("string")
-    return F.col(c).cast("string")
+    if c == "raw_payload":
+        return canonical_json(F.coalesce(F.col(c), F.lit("{}")))
+    return L.utc_text(F.col(c)) if c.endswith("_at") else F.col(c).cast("string")
 
 
 def applied(events: DataFrame, state: DataFrame | None = None, scalars: tuple[str, ...] = SCALARS) -> DataFrame:
@@ -52,7 +52,7 @@ def applied(events: DataFrame, state: DataFrame | None = None, scalars: tuple[st
         "source_event_id",
         *(F.last(F.when(F.col("accepted"), F.col(c)), ignorenulls=True).over(so_far).alias(c) for c in scalars),
     )
-    hashed = merged.withColumn("payload_hash", payload_hash(scalars))
+    hashed = merged.withColumn("payload_hash", payload_hash(scalars, F.col("source_event_version")))
     same = F.lag("payload_hash").over(key) == F.col("payload_hash")  # a stale event leaves the state, and its hash, as it was
     action = F.when(F.col("stored"), "stored").when(F.col("first"), "insert").when(~F.col("accepted"), "stale_ignored").when(same, "no_op").otherwise("merge")
     acted = hashed.withColumn("action", action)
@@ -83,8 +83,9 @@ def mark_present(state: DataFrame, actions: DataFrame, run_id: str, now: Column)
     """Stamps of a reconcile run on postings that it inserted or merged; a no_op leaves none."""
     touched = actions.filter(F.col("action").isin("insert", "merge")).select("external_id").distinct().withColumn("touched", F.lit(True))
     rows = state.join(touched, "external_id", "left")
-    hit = F.col("touched").isNotNull()
-    return rows.select(*state.columns, F.when(hit, F.lit(run_id)).alias("last_reconciled_run_id"), F.when(hit, now).alias("last_reconciled_at"), F.when(hit, "present").alias("reconciliation_status"))
+    stamps = {"last_reconciled_run_id": F.lit(run_id), "last_reconciled_at": now, "reconciliation_status": F.lit("present")}
+    before = lambda c: F.col(c) if c in state.columns else F.lit(None)
+    return rows.select(*(c for c in state.columns if c not in stamps), *(F.when(F.col("touched"), x).otherwise(before(c)).alias(c) for c, x in stamps.items()))
 
 
 def merge_counts(actions: DataFrame) -> DataFrame:
@@ -106,8 +107,10 @@ def event_audit(actions: DataFrame, scalars: tuple[str, ...] = SCALARS) -> DataF
 
 
 def upsert(state: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
-    """state with the rows of updates in place of those with equal keys."""
-    return state.join(updates.select(*keys), keys, "left_anti").unionByName(updates, allowMissingColumns=True)
+    """state with the rows of updates in place of those with equal keys. Of updates that share a key the last in the order of their JSON text counts."""
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(L.canonical_json(*updates.columns))))
+    last = updates.withColumn("nth", nth).filter(F.col("nth") == 1).drop("nth")
+    return state.join(last.select(*keys), keys, "left_anti").unionByName(last, allowMissingColumns=True)
 
 
 #: Payload keys that a hash ignores at every depth.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fjordlake.functions import columns as L
@@ -61,12 +61,13 @@ def promotion_limit(signals: DataFrame, n: int, order: tuple[str, ...] = ("sourc
     return signals.orderBy(*order).limit(n)
 
 
-def skip_persisted_hashes(signals: DataFrame, store: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Signals that are new (one for each hash), and rejects: known hashes and repeats."""
-    known = store.select("signal_deterministic_hash").distinct()
-    new = signals.join(known, "signal_deterministic_hash", "left_anti")
-    reason = F.lit("duplicate_hash_already_persisted").alias("reject_reason")
-    return new.dropDuplicates(["signal_deterministic_hash"]), signals.join(known, "signal_deterministic_hash", "left_semi").select("*", reason)
+def skip_persisted_hashes(signals: DataFrame, store: DataFrame, order: tuple[str, ...] = ("source_observation_ids",)) -> tuple[DataFrame, DataFrame]:
+    """Signals that are new (the first of each hash), and rejects: known hashes, and later rows of a hash."""
+    known = store.select("signal_deterministic_hash").distinct().withColumn("is_known", F.lit(True))
+    nth = F.row_number().over(Window.partitionBy("signal_deterministic_hash").orderBy(*order))
+    rows = signals.withColumn("nth", nth).join(known, "signal_deterministic_hash", "left")
+    is_new = F.col("is_known").isNull() & (F.col("nth") == 1)
+    return rows.filter(is_new).select(*signals.columns), rows.filter(~is_new).select(*signals.columns, F.lit("duplicate_hash_already_persisted").alias("reject_reason"))
 
 
 def require_observations(signals: DataFrame, obs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -35,11 +35,12 @@ def closeout(state: DataFrame, snapshot: DataFrame, cutoff: Column, limit: int |
     open_rows = _absent(state, snapshot).withColumn("legacy", stored.isNull()).withColumn("final_version", version)
     closing = open_rows.filter(F.col("final_version") <= cutoff).orderBy("legacy", "external_id").limit(clamp(limit, 100, 250))
     own = ["final_version", *state.columns]
-    closed = closing.select(*own).withColumn("source_event_version", F.col("final_version")).drop("final_version").withColumn("status", F.lit("INACTIVE")).withColumn("payload_hash", payload_hash(SCALARS))
+    closed = closing.select(*own).withColumn("source_event_version", F.col("final_version")).drop("final_version").withColumn("status", F.lit("INACTIVE")).withColumn("payload_hash", payload_hash(SCALARS, F.col("source_event_version")))
     audit = closing.select("external_id", F.lit("closeout").alias("change_kind"), F.lit("ACTIVE").alias("previous_status"), F.lit("INACTIVE").alias("new_status"), "final_version")
     rest = state.join(closed.select("external_id"), "external_id", "left_anti")
-    marked = closed.select(*state.columns, F.lit("absent").alias("reconciliation_status"))
-    return rest.withColumn("reconciliation_status", F.lit(None).cast("string")).unionByName(marked), audit
+    # what a run has marked before, such as present, stays where nothing was closed
+    known = rest if "reconciliation_status" in state.columns else rest.withColumn("reconciliation_status", F.lit(None).cast("string"))
+    return known.unionByName(closed.withColumn("reconciliation_status", F.lit("absent"))), audit
 
 
 def backfill_versions(state: DataFrame, snapshot: DataFrame, derived: Column, limit: int = 100) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fjordlake.functions import columns as L
+from fjordlake.operators.merge import SCALARS, payload_hash
 
 
 def _is_valid(today: Column) -> Column:
@@ -35,9 +36,22 @@ def changed_at(*columns: str) -> Column:
     return F.greatest(*(F.col(c) for c in columns))
 
 
-def list_since(state: DataFrame, since: Column, after_id: str = "", limit: int | None = 500, clocks: tuple[str, ...] = ("updated_at", "event_modified_at")) -> DataFrame:
-    """The next page behind the cursor (since, after_id). The plain comparison repeats what the tuple implies, for pushdown."""
-    rows = state.withColumn("changed_at", changed_at(*clocks))
+#: Columns any of which may say when a posting changed.
+CLOCKS = ("updated_at", "date_modified", "event_modified_at", "imported_at")
+
+
+def list_since(state: DataFrame, since: Column, after_id: str = "", limit: int | None = 500, clocks: tuple[str, ...] = CLOCKS) -> DataFrame:
+    """The next page behind the cursor (since, after_id), by the latest of those clocks that state has.
+
+    A version that is missing is the latest event time, and a hash that is missing is computed. The plain comparison repeats
+    what the tuple implies, for pushdown."""
+    times = [c for c in ("event_modified_at", "date_modified") if c in state.columns]
+    version = F.coalesce("source_event_version", changed_at(*times)) if len(times) > 1 else F.coalesce("source_event_version", *times)
+    rows = state.withColumn("source_event_version", version)
+    stored = [F.col("payload_hash")] if "payload_hash" in state.columns else []
+    rows = rows.withColumn("payload_hash", F.coalesce(*stored, payload_hash(SCALARS, F.col("source_event_version"))))
+    own = [c for c in clocks if c in state.columns]
+    rows = rows.withColumn("changed_at", changed_at(*own) if len(own) > 1 else F.col(own[0]))
     past = F.struct(F.col("changed_at"), F.col("external_id")) > F.struct(since.alias("changed_at"), F.lit(after_id).alias("external_id"))
     return rows.filter((F.col("changed_at") >= since) & past).orderBy("changed_at", "external_id").limit(L.clamp(limit, 500, 1000))
 

@@ -33,10 +33,9 @@ _AXES = {"Region": "region", "UtdNivaa": "education", "ContentsCode": "contents_
 def cubes(spark, sf_dir) -> DataFrame:
     """One cube made of the cells: codes by alphabet, a label for each, a unit for each measure."""
     cells = X.view(spark, sf_dir, _CELLS)
-    every = None
+    every = cells.agg(*(F.collect_set(column).alias(column) for column in _AXES.values()))  # a few codes each
     for column in _AXES.values():
-        own = cells.select(column).distinct()  # a few codes each
-        every = own if every is None else every.crossJoin(own)
+        every = every.withColumn(column, F.explode(column))
     placed = every.join(cells, list(_AXES.values()), "left")
     values = F.transform(F.array_sort(F.collect_list(F.struct(*_AXES.values(), "value"))), lambda x: x["value"])
     codes = {name: F.array_sort(F.collect_set(column)) for name, column in _AXES.items()}

@@ -12,16 +12,16 @@ _ORDERS = """SELECT year(o_orderdate) AS y, r_name, c_mktsegment, o_orderpriorit
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 WHERE o_orderdate < TIMESTAMP '2001-01-01 00:00:00'"""
 
-_PLACES = f"""SELECT y, r_name AS region, r_name AS region_label, c_mktsegment AS education, o_orderpriority AS field, price FROM ({_ORDERS}) AS a
-UNION ALL SELECT y, 'TOT' AS region, 'Hele landet' AS region_label, c_mktsegment AS education, o_orderpriority AS field, price FROM ({_ORDERS}) AS b"""
+# Each order counts for its region and for the whole, each cell for both measures; `view` turns the list's form into Spark's.
+_PLACES = f"""SELECT y, CASE k WHEN 0 THEN r_name ELSE 'TOT' END AS region, CASE k WHEN 0 THEN r_name ELSE 'Hele landet' END AS region_label, c_mktsegment AS education, o_orderpriority AS field, price
+FROM (SELECT a.*, unnest(list_value(0, 1)) AS k FROM ({_ORDERS}) AS a) AS b"""
 
 _CELLS = f"""SELECT y, region, region_label, education, field, count(*) AS n, CAST(sum(price) AS DOUBLE) AS revenue FROM ({_PLACES}) AS p GROUP BY y, region, region_label, education, field"""
 
 #: Observations of table 11615: one row for each region, education, field, year and measure.
-REGIONAL = f"""SELECT concat('11615|', CAST(y AS STRING), '|Orders|', region, '|', education, '|', field) AS id, '11615' AS table_id, CAST(y AS STRING) AS period, 'Orders' AS contents_code, 'orders' AS unit, CAST(n AS DOUBLE) AS value, region, region_label, education, field,
-CASE WHEN field = '4-NOT SPECIFIED' THEN 'Uoppgitt' ELSE field END AS field_label FROM ({_CELLS}) AS c
-UNION ALL SELECT concat('11615|', CAST(y AS STRING), '|Revenue|', region, '|', education, '|', field) AS id, '11615' AS table_id, CAST(y AS STRING) AS period, 'Revenue' AS contents_code, 'money' AS unit, revenue AS value, region, region_label, education, field,
-CASE WHEN field = '4-NOT SPECIFIED' THEN 'Uoppgitt' ELSE field END AS field_label FROM ({_CELLS}) AS d"""
+REGIONAL = f"""SELECT concat('11615|', CAST(y AS STRING), '|', contents_code, '|', region, '|', education, '|', field) AS id, '11615' AS table_id, CAST(y AS STRING) AS period, contents_code, CASE contents_code WHEN 'Orders' THEN 'orders' ELSE 'money' END AS unit,
+CASE contents_code WHEN 'Orders' THEN CAST(n AS DOUBLE) ELSE revenue END AS value, region, region_label, education, field, CASE WHEN field = '4-NOT SPECIFIED' THEN 'Uoppgitt' ELSE field END AS field_label
+FROM (SELECT c.*, unnest(list_value('Orders', 'Revenue')) AS contents_code FROM ({_CELLS}) AS c) AS d"""
 
 #: Table 12850: industries by education and year.
 INDUSTRY = """SELECT concat('12850|', CAST(y AS STRING), '|Lines|', industry, '|', education) AS id, '12850' AS table_id, CAST(y AS STRING) AS period, 'Lines' AS contents_code, 'lines' AS unit, CAST(count(*) AS DOUBLE) AS value, industry, education
@@ -73,7 +73,7 @@ def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """The rows of one of the texts above over the tables of sf_dir."""
     for name in TABLES:
         spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
-    return spark.sql(sql)
+    return spark.sql(sql.replace("unnest(list_value(", "explode(array("))
 
 
 def observations(flat: DataFrame, dims: dict[str, str], labels: dict[str, str]) -> DataFrame:

@@ -102,12 +102,13 @@ def _(spark, sf_dir):
 # The merge's closed form: a running maximum gates events, scalars are the last known of accepted ones.
 _RANK = "coalesce(version, TIMESTAMP '0001-01-01 00:00:00')"
 _KEY = "(PARTITION BY external_id ORDER BY seq"
-_HASHED = ", ".join(f"coalesce('=' || {'CAST(epoch_us(' + c + ') AS VARCHAR)' if c.endswith('_at') else 'CAST(' + c + ' AS VARCHAR)'}, '-')" for c in X.SCALARS)
+_UTC = lambda c: f"strftime({c}, '%Y-%m-%dT%H:%M:%S.%fZ')"
+_HASHED = lambda event_at: "md5(CAST(json_object(" + ", ".join(f"'{c}', {_UTC(c) if c.endswith('_at') else 'CAST(' + c + ' AS VARCHAR)'}" for c in X.SCALARS) + f", 'event_at', {_UTC(event_at)}) AS VARCHAR))"
 _APPLIED = f"""WITH e AS ({X.EVENTS}), g AS (SELECT *, max({_RANK}) OVER {_KEY} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM e),
 a AS (SELECT *, top IS NULL OR {_RANK} >= top AS accepted, top IS NULL OR {_RANK} > top AS advances FROM g),
 m AS (SELECT external_id, seq, top, accepted, advances, source_event_id AS own_id, nullif(max({_RANK}) OVER {_KEY}), TIMESTAMP '0001-01-01 00:00:00') AS source_event_version,
 {", ".join(f"last_value(CASE WHEN accepted THEN {c} END IGNORE NULLS) OVER {_KEY} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {c}" for c in X.SCALARS)} FROM a),
-h AS (SELECT *, md5(concat_ws('|', {_HASHED})) AS payload_hash FROM m),
+h AS (SELECT *, {_HASHED('source_event_version')} AS payload_hash FROM m),
 x AS (SELECT *, CASE WHEN top IS NULL THEN 'insert' WHEN NOT accepted THEN 'stale_ignored' WHEN lag(payload_hash) OVER {_KEY}) = payload_hash THEN 'no_op' ELSE 'merge' END AS action FROM h),
 r AS (SELECT * EXCLUDE (top, accepted, advances, own_id), coalesce(last_value(CASE WHEN action IN ('insert', 'merge') AND advances THEN own_id END IGNORE NULLS) OVER {_KEY} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
 first_value(CASE WHEN action IN ('insert', 'merge') AND NOT advances THEN own_id END IGNORE NULLS) OVER {_KEY} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS source_event_id FROM x)
@@ -150,9 +151,9 @@ def _(spark, sf_dir):
     return audit.select("external_id", "seq", "change_kind", F.col("previous_values.payload_hash").alias("previous_hash"), F.col("new_values.payload_hash").alias("new_hash"))
 
 
-@query("payload_hash", f"SELECT seq, md5(concat_ws('|', {_HASHED})) AS payload_hash FROM ({X.EVENTS}) e")
+@query("payload_hash", f"SELECT seq, {_HASHED('version')} AS payload_hash FROM ({X.EVENTS}) e")
 def _(spark, sf_dir):
-    return feed(spark, sf_dir).select("seq", merge.payload_hash().alias("payload_hash"))
+    return feed(spark, sf_dir).select("seq", merge.payload_hash(X.SCALARS, F.col("version")).alias("payload_hash"))
 
 
 @query("rich_merge_payloads")
@@ -197,12 +198,13 @@ def _(spark, sf_dir):
     return events.fail_details(queue, failures, now()).select("external_id", "status", "attempt_count", us("next_attempt_at").alias("next_attempt_at"))
 
 
-@query("queue_details", f"""WITH q AS ({X.RETRY}), e AS (SELECT concat('o', CAST(event_id AS VARCHAR)) AS external_id, status FROM ({X.EVENTS}) v WHERE seq % 2 = 0)
-SELECT coalesce(q.external_id, e.external_id) AS external_id, CASE WHEN e.status = 'ACTIVE' THEN 'pending' WHEN e.status = 'INACTIVE' THEN 'resolved' ELSE q.status END AS status, coalesce(q.attempt_count, 0) AS attempt_count FROM q FULL JOIN e ON q.external_id = e.external_id WHERE q.external_id IS NOT NULL OR e.status = 'ACTIVE'""")
+@query("queue_details", f"""WITH q AS ({X.RETRY}), e AS (SELECT concat('o', substr(external_id, 2)) AS external_id, max(CASE WHEN status = 'INACTIVE' THEN 1 ELSE 0 END) AS done, arg_max(concat('missing at ', CAST(seq AS VARCHAR)), seq) FILTER (WHERE status = 'ACTIVE') AS reason FROM ({X.EVENTS}) v GROUP BY 1)
+SELECT coalesce(q.external_id, e.external_id) AS external_id, CASE WHEN e.done = 1 THEN 'resolved' WHEN e.reason IS NOT NULL THEN 'pending' ELSE q.status END AS status, coalesce(q.attempt_count, 0) AS attempt_count, e.reason AS last_error FROM q FULL JOIN e ON q.external_id = e.external_id WHERE q.external_id IS NOT NULL OR e.reason IS NOT NULL""")
 def _(spark, sf_dir):
-    found = feed(spark, sf_dir).filter(F.col("seq") % 2 == 0).withColumn("external_id", F.concat(F.lit("o"), F.col("event_id").cast("string")))
-    queued = found.filter(F.col("status") == "ACTIVE").select("external_id", "seq", F.lit("detail missing").alias("reason"))
-    return events.queue_details(X.view(spark, sf_dir, X.RETRY), queued, found.filter(F.col("status") == "INACTIVE"), now()).select("external_id", "status", "attempt_count")
+    """The whole feed as one page: ids repeat, the last reason counts and resolved wins."""
+    found = feed(spark, sf_dir).withColumn("external_id", F.concat(F.lit("o"), F.substring("external_id", 2, 20)))
+    queued = found.filter(F.col("status") == "ACTIVE").select("external_id", "seq", F.concat(F.lit("missing at "), F.col("seq").cast("string")).alias("reason"))
+    return events.queue_details(X.view(spark, sf_dir, X.RETRY), queued, found.filter(F.col("status") == "INACTIVE"), now()).select("external_id", "status", "attempt_count", "last_error")
 
 
 _CUT = "TIMESTAMP '2024-01-20 00:00:00'"
@@ -213,29 +215,37 @@ def _(spark, sf_dir):
     return reconcile.reconcile_window(feed(spark, sf_dir), cut()).agg(F.count("*").alias("n"), F.min("seq").alias("least"), F.max("seq").alias("most"))
 
 
-_THIRD = f"SELECT * FROM ({X.EVENTS}) e WHERE event_id % 3 = 1"
-_SNAPSHOT = f"SELECT 'r1' AS run_id, external_id, status AS final_status, version, source_event_id FROM (SELECT *, row_number() OVER (PARTITION BY external_id ORDER BY {_RANK} DESC, seq DESC) AS nth FROM ({_THIRD}) t) x WHERE nth = 1"
+_LATE = f"SELECT * FROM ({X.EVENTS}) e WHERE 3 * seq > 2 * (SELECT max(seq) FROM ({X.EVENTS}) m)"
+_FINAL = lambda rows: f"SELECT 'r1' AS run_id, external_id, status AS final_status, version, source_event_id FROM (SELECT *, row_number() OVER (PARTITION BY external_id ORDER BY {_RANK} DESC, seq DESC) AS nth FROM ({rows}) t) x WHERE nth = 1"
+_SNAPSHOT = _FINAL(_LATE)
+
+
+def late(found: DataFrame, parts: int, of: int) -> DataFrame:
+    """Events behind that share of the feed."""
+    end = found.agg((F.max("seq") * parts).alias("end"))
+    return found.join(F.broadcast(end), F.col("seq") * of > F.col("end"), "left_semi")
 
 
 def snapshot(spark, sf_dir) -> DataFrame:
-    return reconcile.reconcile_snapshot(feed(spark, sf_dir).filter(F.col("event_id") % 3 == 1), "r1")
+    """Of the last third of the feed, so that older postings are absent."""
+    return reconcile.reconcile_snapshot(late(feed(spark, sf_dir), 2, 3), "r1")
 
 
-@query("reconcile_snapshot", f"SELECT run_id, external_id, final_status, epoch_us(version) AS source_event_version, source_event_id FROM ({_SNAPSHOT}) s")
+@query("reconcile_snapshot", f"SELECT run_id, external_id, final_status, epoch_us(version) AS source_event_version, source_event_id FROM ({_FINAL(X.EVENTS)}) s")
 def _(spark, sf_dir):
-    return snapshot(spark, sf_dir).select("run_id", "external_id", "final_status", us("source_event_version").alias("source_event_version"), "source_event_id")
+    found = reconcile.reconcile_snapshot(feed(spark, sf_dir), "r1")
+    return found.select("run_id", "external_id", "final_status", us("source_event_version").alias("source_event_version"), "source_event_id")
 
 
 @query("reconcile_snapshot_whole", f"SELECT 'r1' AS run_id, external_id, status AS final_status, epoch_us(version) AS source_event_version, source_event_id FROM (SELECT *, row_number() OVER (PARTITION BY external_id ORDER BY {_RANK} DESC, seq DESC) AS nth FROM ({X.EVENTS}) t) x WHERE nth = 1")
 def _(spark, sf_dir):
-    """Of every id of the feed; reconcile_snapshot takes a third of the events, as its DuckDB form does."""
     found = reconcile.reconcile_snapshot(feed(spark, sf_dir), "r1")
     return found.select("run_id", "external_id", "final_status", us("source_event_version").alias("source_event_version"), "source_event_id")
 
 
-@query("mark_present", f"WITH f AS ({_APPLIED} SELECT external_id, count(*) AS n FROM r WHERE action IN ('insert', 'merge') AND seq > 10000 GROUP BY external_id) SELECT p.external_id, CASE WHEN f.n IS NOT NULL THEN 'r1' END AS last_reconciled_run_id, CASE WHEN f.n IS NOT NULL THEN 'present' END AS reconciliation_status FROM ({X.POSTINGS}) p LEFT JOIN f ON p.external_id = f.external_id")
+@query("mark_present", f"WITH f AS ({_APPLIED} SELECT external_id, count(*) AS n FROM r WHERE action IN ('insert', 'merge') AND 2 * seq > (SELECT max(seq) FROM r) GROUP BY external_id) SELECT p.external_id, CASE WHEN f.n IS NOT NULL THEN 'r1' END AS last_reconciled_run_id, CASE WHEN f.n IS NOT NULL THEN 'present' END AS reconciliation_status FROM ({X.POSTINGS}) p LEFT JOIN f ON p.external_id = f.external_id")
 def _(spark, sf_dir):
-    actions = merge.merge_events(feed(spark, sf_dir))[1].filter(F.col("seq") > 10000)
+    actions = late(merge.merge_events(feed(spark, sf_dir))[1], 1, 2)
     return merge.mark_present(X.view(spark, sf_dir, X.POSTINGS), actions, "r1", now()).select("external_id", "last_reconciled_run_id", "reconciliation_status")
 
 
@@ -243,33 +253,41 @@ _OPEN = f"SELECT p.* FROM ({X.POSTINGS}) p WHERE status = 'ACTIVE' AND external_
 
 
 def postings(spark, sf_dir) -> DataFrame:
-    return X.view(spark, sf_dir, X.POSTINGS).withColumn("payload_hash", merge.payload_hash())
-
-
-def snapshot_of(spark, sf_dir) -> DataFrame:
-    return snapshot(spark, sf_dir)
+    return X.view(spark, sf_dir, X.POSTINGS).withColumn("payload_hash", merge.payload_hash(X.SCALARS, F.col("source_event_version")))
 
 
 @query("closeout", f"SELECT external_id, 'closeout' AS change_kind, epoch_us(final_version) AS final_version FROM (SELECT *, coalesce(source_event_version, published_at) AS final_version FROM ({_OPEN}) o) x WHERE final_version <= {_CUT} ORDER BY source_event_version IS NULL, external_id LIMIT 250")
 def _(spark, sf_dir):
-    state, audit = reconcile.closeout(postings(spark, sf_dir), snapshot_of(spark, sf_dir), cut(), 1000, F.col("published_at"))
+    state, audit = reconcile.closeout(postings(spark, sf_dir), snapshot(spark, sf_dir), cut(), 1000, F.col("published_at"))
     return audit.select("external_id", "change_kind", us("final_version").alias("final_version"))
 
 
 @query("closeout_state", f"WITH c AS (SELECT external_id FROM (SELECT *, coalesce(source_event_version, published_at) AS v FROM ({_OPEN}) o) x WHERE v <= {_CUT} ORDER BY source_event_version IS NULL, external_id LIMIT 20) SELECT p.external_id, CASE WHEN c.external_id IS NULL THEN p.status ELSE 'INACTIVE' END AS status, CASE WHEN c.external_id IS NOT NULL THEN 'absent' END AS reconciliation_status FROM ({X.POSTINGS}) p LEFT JOIN c ON p.external_id = c.external_id")
 def _(spark, sf_dir):
-    state, _ = reconcile.closeout(postings(spark, sf_dir), snapshot_of(spark, sf_dir), cut(), 20, F.col("published_at"))
+    state, _ = reconcile.closeout(postings(spark, sf_dir), snapshot(spark, sf_dir), cut(), 20, F.col("published_at"))
     return state.select("external_id", "status", "reconciliation_status")
 
 
+@query("closeout_after_mark_present", f"""WITH f AS ({_APPLIED} SELECT DISTINCT external_id FROM r WHERE action IN ('insert', 'merge') AND 2 * seq > (SELECT max(seq) FROM r)),
+c AS (SELECT external_id FROM (SELECT *, coalesce(source_event_version, published_at) AS v FROM ({_OPEN}) o) x WHERE v <= {_CUT} ORDER BY source_event_version IS NULL, external_id LIMIT 20)
+SELECT p.external_id, CASE WHEN c.external_id IS NULL THEN p.status ELSE 'INACTIVE' END AS status, CASE WHEN c.external_id IS NOT NULL THEN 'absent' WHEN f.external_id IS NOT NULL THEN 'present' END AS reconciliation_status, CASE WHEN f.external_id IS NOT NULL THEN 'r1' END AS run_id
+FROM ({X.POSTINGS}) p LEFT JOIN c ON p.external_id = c.external_id LEFT JOIN f ON p.external_id = f.external_id""")
+def _(spark, sf_dir):
+    """A run's marks, then its close-out of what the snapshot lacks."""
+    actions = late(merge.merge_events(feed(spark, sf_dir))[1], 1, 2)
+    state = merge.mark_present(postings(spark, sf_dir), actions, "r1", now())
+    closed, _ = reconcile.closeout(state, snapshot(spark, sf_dir), cut(), 20, F.col("published_at"))
+    return closed.select("external_id", "status", "reconciliation_status", F.col("last_reconciled_run_id").alias("run_id"))
+
+
 @query("backfill_versions", f"SELECT external_id, epoch_us(published_at) AS version FROM ({_OPEN}) o WHERE source_event_version IS NULL AND published_at IS NOT NULL ORDER BY external_id LIMIT 100")
 def _(spark, sf_dir):
-    return reconcile.backfill_versions(postings(spark, sf_dir), snapshot_of(spark, sf_dir), F.col("published_at")).select("external_id", us("version").alias("version"))
+    return reconcile.backfill_versions(postings(spark, sf_dir), snapshot(spark, sf_dir), F.col("published_at")).select("external_id", us("version").alias("version"))
 
 
 @query("closeout_remaining", f"SELECT CAST(coalesce(max(CASE WHEN v IS NULL OR v <= {_CUT} THEN 1 ELSE 0 END), 0) AS INT) AS remaining, count(*) FILTER (WHERE v IS NULL) AS unversioned FROM (SELECT coalesce(source_event_version, published_at) AS v FROM ({_OPEN}) o) x")
 def _(spark, sf_dir):
-    return reconcile.closeout_remaining(postings(spark, sf_dir), snapshot_of(spark, sf_dir), cut(), F.col("published_at"))
+    return reconcile.closeout_remaining(postings(spark, sf_dir), snapshot(spark, sf_dir), cut(), F.col("published_at"))
 
 
 _VALID = f"(status = 'ACTIVE' AND published_at IS NOT NULL AND (application_due IS NULL OR application_due >= {_TODAY}))"

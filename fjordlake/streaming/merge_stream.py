@@ -31,21 +31,44 @@ def current_state(spark: SparkSession, state_path: str, before: int | None = Non
     return spark.read.parquet(f"{state_path}/v={known[-1]}") if known else None
 
 
-def merge_batch(found: DataFrame, batch_id: int, state_path: str, base_url: str) -> None:
-    """Merges one micro-batch of page items (with page and place) and writes the next snapshot and its audit rows."""
+DETAIL = f"struct<{events.DETAIL_SCHEMA.replace(' string', ':string').replace(' struct', ':struct')}>"
+
+
+def _with_details(found: DataFrame, details: DataFrame | None) -> DataFrame:
+    """found with the detail of each item's id, the newest by its own time, if there is one."""
+    if details is None:
+        return found.withColumn("detail", F.lit(None).cast(DETAIL))
+    newest = details.groupBy(F.trim("external_id").alias("detail_id")).agg(F.max_by(F.col("detail").cast(DETAIL), F.coalesce(F.col("detail.sistEndret"), F.lit(""))).alias("detail"))
+    return found.join(newest, F.trim("id") == F.col("detail_id"), "left").drop("detail_id")
+
+
+def _rich_payloads(actions: DataFrame, own: DataFrame, state: DataFrame | None) -> DataFrame:
+    """external_id and rich_payload: the payloads of accepted events merged key by key onto what the state has."""
+    taken = own.join(actions.filter(~F.col("stored")).select("external_id", "seq", "action"), ["external_id", "seq"]).select("external_id", "seq", "action", "raw_payload")
+    if state is not None:
+        taken = taken.unionByName(state.select("external_id", F.lit(None).cast("string").alias("seq"), F.lit("merge").alias("action"), F.col("rich_payload").alias("raw_payload")))
+    return merge.merged_payloads(taken).withColumnRenamed("raw_payload", "rich_payload")
+
+
+def merge_batch(found: DataFrame, batch_id: int, state_path: str, base_url: str, details: DataFrame | None = None) -> None:
+    """Merges one micro-batch of page items (with page and place) and writes the next snapshot and its audit rows.
+
+    details (external_id, detail) gives items their publication, expiry and due dates. An item that comes twice in one place of
+    a page counts once."""
     spark = found.sparkSession
     ordered = F.concat_ws("#", "page", F.lpad(F.col("place").cast("string"), 9, "0"))
-    items = found.withColumn("detail", F.lit(None).cast(f"struct<{events.DETAIL_SCHEMA.replace(' string', ':string').replace(' struct', ':struct')}>")).withColumn("feed_order", ordered)
+    items = _with_details(found, details).withColumn("feed_order", ordered)
     own = events.normalize_events(items, base_url).filter(events.event_class(F.col("status")) != "skipped")
     numbered = own.withColumn("seq", F.col("feed_order"))
     state = current_state(spark, state_path, batch_id)
     actions = merge.applied(numbered, state, SCALARS).persist()
-    merge.merged_state(actions, SCALARS).write.mode("overwrite").parquet(f"{state_path}/v={batch_id}")
+    merged = merge.merged_state(actions, SCALARS).join(_rich_payloads(actions, numbered, state), "external_id", "left")
+    merged.write.mode("overwrite").parquet(f"{state_path}/v={batch_id}")
     merge.event_audit(actions, SCALARS).write.mode("overwrite").parquet(f"{state_path}/audit/batch={batch_id}")
     actions.unpersist()
 
 
-def start_merge_stream(spark: SparkSession, landing: str, state_path: str, checkpoint: str, base_url: str, pages_per_batch: int = 10) -> StreamingQuery:
+def start_merge_stream(spark: SparkSession, landing: str, state_path: str, checkpoint: str, base_url: str, pages_per_batch: int = 10, details: DataFrame | None = None) -> StreamingQuery:
     """Merges all pages that have landed and stops; the checkpoint is the cursor into the feed."""
     pages = read_feed_pages(spark, landing, stream=True, pages_per_batch=pages_per_batch)
-    return pages.writeStream.foreachBatch(lambda found, n: merge_batch(found, n, state_path, base_url)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return pages.writeStream.foreachBatch(lambda found, n: merge_batch(found, n, state_path, base_url, details)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
