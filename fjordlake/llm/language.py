@@ -3,11 +3,12 @@
 A text is lower-cased, everything but letters becomes a space, and its byte pairs and triples are counted in hashed bins.
 Counts are damped by a logarithm, weighted by inverse document frequency over all training documents and scaled to length 1.
 Each language has several centroids, found by spherical k-means on a bounded sample; the language of the centroid with the
-largest cosine is predicted. A text further from it than any text of the sample, by a margin, is rejected.
+largest cosine is predicted. A text further from it than nearly all texts of the sample in that language, by a margin, is rejected.
 
-Rows: a null text, or one without a letter, is `und`, scores 0 and is rejected; rows with equal or null doc_ids are scored
-each for itself; a row with a null doc_id or lang teaches nothing; without training rows all texts are `und`; other columns
-are kept by `keep_identified` and ignored elsewhere.
+Rows: a null or empty text, or one without a letter, is `und`, scores 0 and is rejected; a text of any length is read whole; rows
+with equal or null doc_ids are scored each for itself; of languages that tie the first by name is predicted; a row with a null
+doc_id or lang teaches nothing; without training rows all texts are `und`; an empty table gives no rows; other columns, whatever
+their names, are kept by `keep_identified` and ignored elsewhere.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ BINS = 1 << BITS
 #: Training documents of each language from which centroids are made, and centroids of each.
 SAMPLE = 500
 CENTROIDS = 4
-#: A text is rejected below this share of the least cosine that the sample shows; with fewer n-grams than FULL_SIZE, below less.
+#: A text is rejected below this share of a low quantile of its language's cosines in the sample; with fewer n-grams than FULL_SIZE, below less.
 SLACK = 0.5
+QUANTILE = 0.01
 FULL_SIZE = 256
 UNKNOWN = "und"
 
@@ -62,10 +64,10 @@ class CentroidModel:
     languages: list[str]  # of each centroid
     centroids: np.ndarray
     idf: np.ndarray
-    least: float  # cosines below are rejected; for texts of few n-grams, whose cosines are lower, proportionally less
+    least: np.ndarray  # by centroid: cosines below are rejected; for texts of few n-grams, whose cosines are lower, proportionally less
 
-    def reject_below(self, counts: np.ndarray) -> np.ndarray:
-        return self.least * np.sqrt(np.minimum(counts.sum(axis=1) / FULL_SIZE, 1))
+    def reject_below(self, counts: np.ndarray, centroid: np.ndarray) -> np.ndarray:
+        return self.least[centroid] * np.sqrt(np.minimum(counts.sum(axis=1) / FULL_SIZE, 1))
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         weighted = np.log1p(counts) * self.idf
@@ -86,7 +88,7 @@ class CentroidModel:
             score = np.where(known, np.clip(cosines[np.arange(len(some)), best], 0, 1), 0)
             names += [self.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
             scores[at : at + len(some)] = score
-            rejected[at : at + len(some)] = ~known | (score < self.reject_below(counts))
+            rejected[at : at + len(some)] = ~known | (score < self.reject_below(counts, best))
         return names, scores, rejected
 
 
@@ -127,7 +129,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Ce
     training = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~is_held_out(F.col("doc_id")))
     frequencies, n = document_frequencies(training)
     idf = np.log((1 + n) / (1 + frequencies)).astype(np.float32) + 1
-    model = CentroidModel([], np.zeros((0, BINS), np.float32), idf, 0.0)
+    model = CentroidModel([], np.zeros((0, BINS), np.float32), idf, np.zeros(0))
     rows = [(t, lang) for t, lang in sample_by_class(training.select("doc_id", "text", F.col("lang").alias("label")), sample, seed=5) if has_letter(t)]
     if not rows:
         return model
@@ -141,7 +143,10 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Ce
         model.languages += [lang] * len(own)
     model.centroids = np.vstack(found).astype(np.float32)
     nearest = (vectors @ model.centroids.T).max(axis=1)
-    model.least = SLACK * float(nearest.min())
+    # each text's cosine is set against what its size would be given, so that short texts don't lower the bar for long ones
+    full = nearest / np.sqrt(np.minimum(counts.sum(axis=1) / FULL_SIZE, 1).clip(1 / FULL_SIZE))
+    by_language = {lang: SLACK * float(np.quantile(full[marks == lang], QUANTILE)) for lang in set(marks.tolist())}
+    model.least = np.array([by_language[lang] for lang in model.languages])
     return model
 
 

@@ -2,11 +2,13 @@
 
 Whole windows are cut off each document first. What is left has a length below the window; combinations of two or three such
 lengths that fill a window exactly are the columns of a least-squares problem whose right side is the histogram of left
-lengths. Its solution, rounded down where counts run out, says how often each combination is used. Documents beyond it are
-laid end to end and cut at window borders; the last stretch is cut into powers of two, so that no sequence needs padding.
+lengths. Its solution, rounded down where counts run out, says how often each combination is used. Residuals are packed
+greedily: the longest first, then always the longest that still fits, as long as that fills a window exactly. Only what is left
+then is laid end to end and cut at window borders; the last stretch is cut into powers of two, so no sequence needs padding.
 
-Rows: null texts are empty and give the end id alone; rows with equal or null doc_ids are packed each for itself; an empty
-table gives no rows; other columns are ignored.
+Rows: null and empty texts give the end id alone; a text of any length is packed whole; rows with equal or null doc_ids are packed
+each for itself, documents whose lengths tie in the order in which they were read; an empty table gives no rows; other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ from fjordlake.llm.common import documents, shuffle_partitions, small_batches, t
 from fjordlake.llm.tokens import BLOCK, encoder
 
 WINDOW = 1024
-#: Lengths, the most frequent ones, from which combinations of three are formed; those of two use every length.
+#: Lengths, the most frequent ones, from which combinations of three are formed; those of two use every length. This bounds the
+#: least-squares problem, not the data: other lengths are packed greedily.
 TRIPLE_LENGTHS = 96
 
 
@@ -57,7 +60,7 @@ def nonnegative_least_squares(columns: np.ndarray, target: np.ndarray, rounds: i
 
 
 def plan(histogram: np.ndarray, window: int) -> list[tuple[tuple[int, ...], int]]:
-    """Combinations with the number of sequences that each fills; no length is used oftener than it occurs."""
+    """Combinations with the number of sequences that each fills, greedy ones last; no length is used oftener than it occurs."""
     options = combinations(histogram, window)
     columns = np.zeros((window, len(options)))
     for j, lengths in enumerate(options):
@@ -79,7 +82,31 @@ def plan(histogram: np.ndarray, window: int) -> list[tuple[tuple[int, ...], int]
         use(j, int(np.floor(solved[j] + 1e-6)))
     for j in order:  # what rounding has left over
         use(j, int(histogram.sum()))
-    return sorted(out.items())
+    return sorted(out.items()) + greedy(left, window)
+
+
+def greedy(left: np.ndarray, window: int) -> list[tuple[tuple[int, ...], int]]:
+    """Windows of the lengths in left (a histogram, from which they are taken), each filled exactly: the longest, then always the longest that fits."""
+    out = []
+    for x in range(window - 1, 0, -1):
+        while left[x]:
+            used, chosen, gap, y = {x: 1}, [x], window - x, x
+            while gap:
+                y = min(y, gap)
+                while y and left[y] <= used.get(y, 0):
+                    y -= 1
+                if not y:
+                    break
+                used[y] = used.get(y, 0) + 1
+                chosen.append(y)
+                gap -= y
+            if gap:
+                break
+            times = min(int(left[k]) // n for k, n in used.items())
+            for k, n in used.items():
+                left[k] -= times * n
+            out.append((tuple(chosen), times))
+    return out
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int, drops_space: bool) -> DataFrame:

@@ -5,8 +5,11 @@ their largest response there; a document's chunks are combined by their mean and
 probability of these. A filter's response is a sum of one learned number for each byte value and place, so that scoring looks
 up pairs of bytes in precomputed tables.
 
-Rows: a null or empty text scores by the network's answer to no bytes; rows with equal or null doc_ids are scored each for
-itself; a null label or doc_id teaches nothing; without labels of both kinds every score is 0.5; other columns are ignored.
+Rows: a null or empty text scores by the network's answer to padding alone, a text shorter than a filter by that to its bytes and
+the padding behind them; a text of any length is read whole; rows with equal or null doc_ids are scored each for itself, equal texts alike; of places
+that tie in a chunk the first learns; documents that are marked both ways, and marks whose label or doc_id is null, teach nothing;
+without labels of both kinds, as with an empty labels table, every score is 0.5; an empty documents table gives no rows; other
+columns of both tables, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -31,8 +34,8 @@ SAMPLE = 1200
 AT_ONCE = 64
 
 
-def chunks_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """All chunks of all texts, padded with byte 0, and each text's first chunk (with the total last)."""
+def chunks_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All chunks of all texts, padded with byte 0, each text's first chunk (with the total last), and each chunk's number of own bytes."""
     step = CHUNK - OVERLAP
     raw = [t.encode("utf-8", "replace") for t in texts]
     counts = [max(1, -(-(len(b) - OVERLAP) // step)) for b in raw]
@@ -42,11 +45,14 @@ def chunks_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         flat = np.zeros(OVERLAP + counts[i] * step, np.uint8)
         flat[: len(b)] = np.frombuffer(b, np.uint8)
         out[first[i] : first[i + 1]] = np.lib.stride_tricks.sliding_window_view(flat, CHUNK)[::step]
-    return out, first
+    own = np.repeat([len(b) for b in raw], counts) - step * (np.arange(first[-1]) - np.repeat(first[:-1], counts))
+    return out, first, np.clip(own, 0, CHUNK)
 
 
-def pooled(chunks: np.ndarray, filters: np.ndarray, bias: np.ndarray, where: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
-    """Largest response of each filter in each chunk (0 at least), and, if asked for, its place. filters: width x 256 x filters."""
+def pooled(chunks: np.ndarray, own: np.ndarray, filters: np.ndarray, bias: np.ndarray, where: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    """Largest response of each filter in each chunk (0 at least), and, if asked for, its place. filters: width x 256 x filters.
+
+    Only places that begin in a chunk's own bytes count (in a chunk without any, the first), so that padding is seen at a text's end alone."""
     tables = [(filters[j][:, None, :] + filters[j + 1][None, :, :]).reshape(1 << 16, -1) for j in range(0, WIDTH, 2)]
     best = np.empty((len(chunks), filters.shape[2]), np.float32)
     place = np.empty(best.shape, np.int32) if where else None
@@ -57,6 +63,9 @@ def pooled(chunks: np.ndarray, filters: np.ndarray, bias: np.ndarray, where: boo
         total = tables[0][pairs[:, :n]]
         for k, table in enumerate(tables[1:], 1):
             total += table[pairs[:, 2 * k : 2 * k + n]]
+        for i, bytes_ in enumerate(own[at : at + AT_ONCE].tolist()):
+            if bytes_ < n:
+                total[i, max(bytes_, 1) :] = -np.inf
         if where:
             place[at : at + AT_ONCE] = total.argmax(axis=1)
         best[at : at + AT_ONCE] = total.max(axis=1)
@@ -80,8 +89,8 @@ class ByteNetwork:
     def score(self, texts: list[str]) -> np.ndarray:
         out = np.full(len(texts), 0.5)
         for at in range(0, len(texts) if self.known else 0, 256):
-            chunks, first = chunks_of(texts[at : at + 256])
-            logits = combined(pooled(chunks, self.filters, self.filter_bias)[0], first) @ self.weights + self.bias
+            chunks, first, own = chunks_of(texts[at : at + 256])
+            logits = combined(pooled(chunks, own, self.filters, self.filter_bias)[0], first) @ self.weights + self.bias
             out[at : at + 256] = 1 / (1 + np.exp(-np.clip(logits.astype(float), -50, 50)))
         return out
 
@@ -103,8 +112,8 @@ def train(rows: list[tuple[str, int]], epochs: int = 6, batch: int = 48, rate: f
         order = random.permutation(len(rows))
         for at in range(0, len(order), batch):
             own = order[at : at + batch]
-            chunks, first = chunks_of([rows[i][0] for i in own])
-            features, place = pooled(chunks, values[0], values[1], where=True)
+            chunks, first, sizes = chunks_of([rows[i][0] for i in own])
+            features, place = pooled(chunks, sizes, values[0], values[1], where=True)
             both = combined(features, first)
             logits = both @ values[2] + values[3][0]
             error = ((1 / (1 + np.exp(-np.clip(logits, -50, 50))) - y[own]) * share[own] / len(own)).astype(np.float32)

@@ -4,11 +4,15 @@ Patterns name assigned passwords and keys, access key ids and long hexadecimal r
 more characters of the base-64 alphabets. Its alphabet is inferred (decimal, hexadecimal, base 32, lower-case base 36 or base
 64). Three tests ask whether it looks random: chi-squared uniformity over that alphabet, runs above and below the alphabet's
 middle, and the serial correlation of neighbours. A token that none of them rejects is still not a finding, since short
-ordinary words pass too: its p-value is that of so even a spread arising from ordinary text of its length, and findings are
-chosen by Benjamini-Hochberg within classes of length, so that the expected share of false ones stays below `false_share`.
-
-Rows: a null text is empty and has no spans; rows with equal or null doc_ids are scanned each for itself; an empty table gives
-no rows; other columns are kept by `redact_secrets` and ignored elsewhere. Offsets count code points, ends are exclusive.
+ordinary words pass too: its p-value is that of what it shows arising from ordinary text of its length. That is an even spread
+over the alphabet; for hexadecimal digits also that no other letter occurs; and for alphabets of digits and letters of one case
+also how often both kinds alternate. The least of these, times their number, counts. Findings are chosen by Benjamini-Hochberg
+within classes of length, so that the expected share of false ones stays below `false_share`. Decimal runs are never findings.
+
+Rows: a null or empty text has no spans; a text of any length is scanned whole; rows with equal or null doc_ids are scanned each
+for itself, equal texts alike; p-values that tie are findings together or not at all; spans that begin together are listed by
+kind; an empty table gives no rows; other columns, whatever their names, are kept by `redact_secrets` and ignored elsewhere.
+Offsets count code points, ends are exclusive.
 """
 
 from __future__ import annotations
@@ -35,8 +39,12 @@ ALPHABETS = (
     (r"^[0-9a-z]+$", "0123456789abcdefghijklmnopqrstuvwxyz"),
     (r"", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"),
 )
-#: Chance that two letters of ordinary text are equal.
+#: By an alphabet's size: the last symbol before digits and letters meet, for alphabets of digits and letters of one case.
+EDGES = {16: 10, 32: 26, 36: 10}
+#: Chance that two letters of ordinary text are equal, that a letter is one of A to F, and that a letter and a digit are neighbours.
 COINCIDENCE = 0.065
+HEX_LETTERS = 0.32
+SWITCHES = 0.05
 #: Level below which a test of the battery calls a token not random.
 LEVEL = 0.001
 FALSE_SHARE = 0.01
@@ -107,14 +115,16 @@ def battery(text: Column, spans: Column) -> Column:
 
     def moments(s: Column) -> Column:
         """One pass over neighbours: runs, places above the middle, and sums for the correlation."""
-        zero = F.struct(F.lit(None).cast("double").alias("last"), *(F.lit(0.0).alias(c) for c in ("runs", "high", "x", "xx", "xy")))
+        zero = F.struct(F.lit(None).cast("double").alias("last"), *(F.lit(0.0).alias(c) for c in ("runs", "switches", "high", "x", "xx", "xy")))
         middle = (s["k"] + 1) / 2
+        edge = F.coalesce(*(F.when(s["k"] == k, F.lit(float(e))) for k, e in EDGES.items()), F.lit(0.0))
 
         def step(a: Column, v: Column) -> Column:
             turn = F.when(a["last"].isNull() | ((a["last"] > middle) != (v > middle)), 1.0).otherwise(0.0)
             return F.struct(
                 v.alias("last"),
                 (a["runs"] + turn).alias("runs"),
+                (a["switches"] + F.when((a["last"] > edge) != (v > edge), 1.0).otherwise(0.0)).alias("switches"),
                 (a["high"] + (v > middle).cast("double")).alias("high"),
                 (a["x"] + v).alias("x"),
                 (a["xx"] + v * v).alias("xx"),
@@ -142,7 +152,13 @@ def battery(text: Column, spans: Column) -> Column:
         random = F.least(normal_below(-z_chi), _two_sided(z_runs), _two_sided(z_serial)) * 3
         # ordinary text: chi-squared with a non-centrality that grows with the length
         away = n * (k * COINCIDENCE - 1)
-        p_text = F.when(away > 0, normal_below((chi - free - away) / F.sqrt(2 * (free + 2 * away)))).otherwise(F.lit(1.0))
+        p_spread = F.when(away > 0, normal_below((chi - free - away) / F.sqrt(2 * (free + 2 * away)))).otherwise(F.lit(1.0))
+        p_letters = F.when(k == 16, F.pow(F.lit(HEX_LETTERS), n)).otherwise(F.lit(1.0))
+        # Chernoff's bound on so many switches or more
+        share = F.greatest(F.least(m["switches"] / F.greatest(n - 1, F.lit(1.0)), F.lit(1 - 1e-9)), F.lit(SWITCHES))
+        divergence = share * F.log(share / SWITCHES) + (1 - share) * F.log((1 - share) / (1 - SWITCHES))
+        p_switches = F.when(k.isin(*(float(x) for x in EDGES)), F.exp(-(n - 1) * divergence)).otherwise(F.lit(1.0))
+        p_text = F.when(k == 10, F.lit(1.0)).when(k.isin(*(float(x) for x in EDGES)), F.least(F.lit(1.0), 3 * F.least(p_spread, p_letters, p_switches))).otherwise(p_spread)
         return F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(KINDS.index("random")).alias("rank"), n.alias("n"), random.alias("p_random"), p_text.alias("p_text"))
 
     return F.transform(summed, tested)

@@ -3,8 +3,9 @@
 A file set is a Parquet folder of chunks, each a run of whole documents: their doc_ids and lengths, the coded words and the
 first word of each block. Parquet is only the container, so that any store Spark writes to can hold it.
 
-Rows: null texts are empty and give the end id alone; null doc_ids come first; rows that share a doc_id are ordered by
-text (null first) and each kept; an empty table gives no rows; other columns are ignored.
+Rows: null and empty texts give the end id alone; a text of any length is written whole; null doc_ids come first; rows that share
+a doc_id are ordered by text (null first) and each kept, those that tie in both being equal; an empty table gives no rows; other
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -63,7 +64,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, drops_
         if doc_ids:
             yield closed()
 
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
     dealt.mapInArrow(code, CHUNK_SCHEMA).write.parquet(path)
 
 

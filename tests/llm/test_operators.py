@@ -99,7 +99,19 @@ def test_packing_plan_never_overuses():
         assert sum(lengths) == 64
         for x in lengths:
             used[x] += times
-    assert (used <= histogram).all() and used.sum() > 0.3 * histogram.sum()
+    assert (used <= histogram).all() and used.sum() > 0.6 * histogram.sum()
+
+
+def test_greedy_windows_are_full_and_take_what_they_use():
+    left = np.zeros(17, int)
+    left[[1, 2, 5, 7, 9, 16 - 1]] = 6, 1, 4, 3, 2, 1
+    before, out = left.copy(), packing.greedy(left, 16)
+    for lengths, times in out:
+        assert sum(lengths) == 16 and times > 0
+        for x in lengths:
+            before[x] -= times
+    assert (before == left).all() and (left >= 0).all()
+    assert out[0] == ((15, 1), 1) and packing.greedy(np.zeros(17, int), 16) == []
 
 
 def brute_jaccard(texts):
@@ -268,6 +280,43 @@ def test_random_tokens_are_found_and_words_are_not(spark):
     assert all(found[i] == 1 for i in range(20)) and not any(found[i] for i in range(20, 24))
 
 
+@pytest.mark.parametrize("symbols,length,least", [("0123456789ABCDEF", 32, 29), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 52, 27), ("abcdefghijklmnopqrstuvwxyz0123456789", 32, 27), ("0123456789", 40, 0)])
+def test_each_encoding_is_found(spark, sf_dir, symbols, length, least):
+    random = np.random.default_rng(2)
+    planted = docs_of(spark, ["see " + "".join(random.choice(list(symbols), length)) + " there" for _ in range(30)], 10_000)
+    docs = planted.unionByName(spark.read.parquet(f"{sf_dir}/documents.parquet").select(*planted.columns))
+    found = [r["doc_id"] for r in secrets.find_secrets(docs).filter("size(random) > 0").collect()]
+    assert sum(i >= 10_000 for i in found) >= least and all(i >= 10_000 for i in found) and (least or not found)
+
+
+def test_battery_equals_plain_statistics(spark):
+    tokens = ["0123456789ABCDEF" * 2, "A1B2C3D4E5F6A7B8C9D0", "MFRGGZDFMZTWQ2LKNNWG23TPOA3X", "q7w8e9r1t2y3u4i5o6p7a8s9", "aGVsbG8gd29ybGQgdGhpcyBpcyBhIHRlc3Q", "internationalisationandmore", "x" * 24]
+    docs = docs_of(spark, tokens, 0)
+    text = F.col("text")
+    got = {r["doc_id"]: r["b"][0] for r in docs.select("doc_id", secrets.battery(text, secrets.spans_of(text, secrets.TOKEN, 3)).alias("b")).collect()}
+    below = lambda z: 1 / (1 + np.exp(-np.clip(1.5976 * z + 0.07056 * z**3, -600, 600)))
+    for i, t in enumerate(tokens):
+        symbols = next(s for p, s in secrets.ALPHABETS if re.search(p, t))
+        n, k, x = len(t), len(symbols), np.array([symbols.index(c) + 1 for c in t], float)
+        counts = np.array([t.count(c) for c in symbols])
+        chi = ((counts - n / k) ** 2 / (n / k)).sum()
+        free, high = k - 1, x > (k + 1) / 2
+        z_chi = ((chi / free) ** (1 / 3) - (1 - 2 / (9 * free))) / np.sqrt(2 / (9 * free))
+        expected = 2 * high.sum() * (~high).sum() / n + 1
+        spread = (expected - 1) * (expected - 2) / (n - 1)
+        z_runs = (1 + (high[1:] != high[:-1]).sum() - expected) / np.sqrt(spread) if spread > 0 else 10.0
+        z_serial = ((x[1:] - x.mean()) * (x[:-1] - x.mean())).sum() / n / x.var() * np.sqrt(n) if x.var() > 0 else 10.0
+        assert got[i]["n"] == n and np.isclose(got[i]["p_random"], 3 * min(below(-z_chi), 2 * below(-abs(z_runs)), 2 * below(-abs(z_serial))), rtol=1e-6)
+        away = n * (k * secrets.COINCIDENCE - 1)
+        p_spread = below((chi - free - away) / np.sqrt(2 * (free + 2 * away))) if away > 0 else 1.0
+        if k in secrets.EDGES:
+            side = x > secrets.EDGES[k]
+            share = min(max((side[1:] != side[:-1]).sum() / (n - 1), secrets.SWITCHES), 1 - 1e-9)
+            switches = np.exp(-(n - 1) * (share * np.log(share / secrets.SWITCHES) + (1 - share) * np.log((1 - share) / (1 - secrets.SWITCHES))))
+            p_spread = min(1, 3 * min(p_spread, secrets.HEX_LETTERS**n if k == 16 else 1, switches))
+        assert np.isclose(got[i]["p_text"], p_spread, rtol=1e-6, atol=1e-300)
+
+
 def test_redaction(spark):
     docs = docs_of(spark, ["clean text", "é token=abcdefgh end", None, "password=" + "0123456789abcdef" * 2])
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in secrets.redact_secrets(docs).collect()}
@@ -315,6 +364,27 @@ def test_language(spark, sf_dir):
     assert model.predict(["", "123 !!", "漢字漢字漢字漢字" * 30])[2].all()
 
 
+def test_language_vectors_equal_a_plain_loop(spark, sf_dir):
+    model = language.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+    def plain(text):
+        raw = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in text.lower().encode())
+        clean, m = b" " + b" ".join(raw.split()) + b" ", [int(x) for x in language._M]
+        counts = np.zeros(language.BINS)
+        for i in range(len(clean) - 1 if len(clean) > 2 else 0):
+            pair = (clean[i] * m[0] + clean[i + 1] * m[1]) & 0xFFFFFFFF
+            counts[(pair * m[4] & 0xFFFFFFFF) >> (32 - language.BITS)] += 1
+            if i + 2 < len(clean):
+                counts[((pair ^ (clean[i + 2] * m[2] & 0xFFFFFFFF)) * m[3] & 0xFFFFFFFF) >> (32 - language.BITS)] += 1
+        weighted = np.log1p(counts) * model.idf
+        return max((float(weighted @ c / max(np.linalg.norm(weighted), 1e-9)), name) for c, name in zip(model.centroids, model.languages))
+
+    texts = ["Der Hund und die Katze sind mit dem Kind.", "x", "the cat. THE DOG?", "les élèves à l'école", "word " * 400]
+    names, scores, _ = model.predict(texts)
+    for t, name, score in zip(texts, names, scores):
+        assert abs(plain(t)[0] - score) < 1e-5 and plain(t)[1] == name
+
+
 def auc(score, label):
     rank = score.rank()
     pos, neg = (label == 1).sum(), (label == 0).sum()
@@ -328,6 +398,33 @@ def held_out_scores(spark, found):
     return got[got.held_out]
 
 
+def test_network_scores_equal_a_plain_loop():
+    random = np.random.default_rng(4)
+    net = quality.ByteNetwork(random.normal(0, 0.3, (quality.WIDTH, 256, quality.FILTERS)).astype(np.float32), random.normal(0, 0.3, quality.FILTERS).astype(np.float32), random.normal(0, 1, 2 * quality.FILTERS).astype(np.float32), 0.2)
+
+    def plain(text):
+        raw, step = text.encode(), quality.CHUNK - quality.OVERLAP
+        chunks = [raw[a : a + quality.CHUNK] for a in range(0, max(len(raw) - quality.OVERLAP, 1), step)]
+        features = []
+        for c in chunks:
+            padded = c + bytes(quality.CHUNK - len(c))
+            places = range(max(1, min(len(c), quality.CHUNK - quality.WIDTH + 1)))
+            features.append([max(0.0, net.filter_bias[f] + max(sum(net.filters[j, padded[p + j], f] for j in range(quality.WIDTH)) for p in places)) for f in range(quality.FILTERS)])
+        both = np.concatenate([np.mean(features, axis=0), np.max(features, axis=0)])
+        return 1 / (1 + np.exp(-(both @ net.weights + net.bias)))
+
+    texts = ["", "a", "kurz", "word " * 20, "é漢" * 90, "x" * 64, "y" * 513, "tail" * 150]
+    assert np.allclose(net.score(texts), [plain(t) for t in texts], atol=1e-4)
+
+
+def test_network_gradient_step_lowers_the_loss():
+    random = np.random.default_rng(0)
+    draw = lambda letters: "".join(random.choice(list(letters), 300))
+    rows = [(draw("abcdef "), 1) for _ in range(60)] + [(draw("#$%&ab "), 0) for _ in range(60)]
+    score = quality.train(rows).score([t for t, _ in rows])
+    assert score[:60].min() > 0.5 > score[60:].max()
+
+
 def test_quality(spark):
     held = held_out_scores(spark, quality.op2_quality(spark, "/root/testdata/sf0.1"))
     assert auc(held.score, held.quality) > 0.98 and (held.predicted == held.quality).mean() > 0.97
@@ -403,9 +500,12 @@ def write_tables(spark, folder, rows):
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_odd_rows(spark, odd_dir, name):
     got = queries.QUERIES[name](spark, odd_dir).toPandas()
-    if name.startswith("op9"):
+    if name.startswith("op6"):
+        assert got.groupby(got.doc_id.fillna(-1)).length.sum().to_dict()[1.0] == 1 and got.groupby(["sequence_id"]).length.sum().max() <= 1024
+        assert (got.start == 0).sum() == len(ODD_ROWS) and got[got.start == 0].doc_tokens.sum() == got.length.sum()
+    elif name.startswith("op9"):
         assert got.values.tolist() == [[0, 1, 0, 5 * 256**2]] * 2
-    elif not name.startswith("op6"):
+    else:
         assert len(got) == len(ODD_ROWS)
 
 
