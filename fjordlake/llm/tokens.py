@@ -22,6 +22,8 @@ MARKS = ".,;:!?&%$#*|)"
 #: Pieces that a worker keeps twice over, about 200 bytes each, and characters that it encodes at a time.
 CACHE = 350_000
 BLOCK = 8_000_000
+#: Pieces whose ids are gathered at a time; a longer text stands alone.
+GATHERED = 50_000
 
 
 class PieceEncoder:
@@ -139,19 +141,21 @@ class PieceEncoder:
             found |= self._learn([p for p in missing if p not in found])
             ids = [found[p] if x is None else x for p, x in zip(pieces, ids)]
             self._keep(found)
-        # a block has far fewer than 2^31 ids, unless one text alone does
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
-        codes = words.indices.to_numpy(zero_copy_only=False)
-        each = lengths[codes]
-        ends = np.cumsum(each)
-        total = int(ends[-1]) if len(ends) else 0
-        small = np.int32 if total < 1 << 31 else np.int64
-        place = np.repeat(((np.cumsum(lengths) - lengths)[codes] - (ends - each)).astype(small), each)
-        place += np.arange(total, dtype=small)
-        flat = np.frombuffer(b"".join(ids), self.type)[place]
-        bounds = np.concatenate(([0], ends))[lists.offsets.to_numpy()].tolist()
+        begins = np.cumsum(lengths) - lengths
+        pool = np.frombuffer(b"".join(ids), self.type)
+        codes, bounds = words.indices.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
         skip = 0 if self.drops_space else len(self.line_feed)
-        return [flat[a + skip : b].tobytes() for a, b in zip(bounds, bounds[1:])]
+        out: list[bytes] = []
+        # a few texts at a time, so that the places stay in the processor's cache
+        for part in blocks_by_size(np.diff(bounds).tolist(), GATHERED):
+            own = codes[bounds[part.start] : bounds[part.stop]]
+            each = lengths[own]
+            ends = np.concatenate(([0], np.cumsum(each)))
+            flat = pool[np.repeat(begins[own] - ends[:-1], each) + np.arange(ends[-1])]
+            cuts = ends[bounds[part.start : part.stop + 1] - bounds[part.start]].tolist()
+            out += [flat[a + skip : b].tobytes() for a, b in zip(cuts, cuts[1:])]
+        return out
 
 
 @lru_cache(maxsize=4)
