@@ -14,7 +14,7 @@
    many copies), the key's facts come by broadcast, with a bound on the number of such keys, and its rows are spread.
 
 Rows: a row for each row with a doc_id; rows that share one are compared each by its own text, and of equal ones, or ties for
-a group's least doc_id, the one with the least text comes first; a row with a null doc_id takes no part and comes out with class_id
+a group's least doc_id, the one whose text has the least hash comes first; a row with a null doc_id takes no part and comes out with class_id
 null and n_links 0; null, empty and wordless texts have no n-grams and no links; a text of any length takes part whole, and alone
 in a block if it is larger than one; an empty table gives no rows; other columns, whatever their names, are ignored by
 `near_duplicates` and kept by `one_of_each`.
@@ -279,9 +279,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRE
 
 
 def _numbered(rows: DataFrame) -> DataFrame:
-    """rows (doc_id, text and others) with row_no, which grows with doc_id, then text; a written table."""
-    ordered = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
-    return written(ordered.withColumn("row_no", F.monotonically_increasing_id()), "numbered")
+    """rows (doc_id, text and others) with row_no, which grows with doc_id, then a hash of the text, then text; a written table."""
+    ordered = rows.withColumn("by_text", F.xxhash64("text")).repartitionByRange("doc_id", "by_text").sortWithinPartitions("doc_id", "by_text", "text")
+    return written(ordered.drop("by_text").withColumn("row_no", F.monotonically_increasing_id()), "numbered")
 
 
 def _unique_near_duplicates(known: DataFrame, words: int, threshold: float, rows: int, recall: float, block: int, block_bytes: int) -> DataFrame:
@@ -313,7 +313,7 @@ def _unique_near_duplicates(known: DataFrame, words: int, threshold: float, rows
 
 
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:
-    """docs without all but the row of least doc_id, then text, of each group; rows without a doc_id all stay."""
+    """docs without all but the row of least doc_id, then least hash of its text, of each group; rows without a doc_id all stay."""
     rows = as_rows(docs).withColumn("doc_id", F.col("own_row.doc_id").cast("long"))
     known = rows.filter(F.col("doc_id").isNotNull())
     if known.groupBy("doc_id").count().filter("count > 1").isEmpty():

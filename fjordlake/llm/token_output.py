@@ -4,7 +4,7 @@ A file set is a Parquet folder of chunks, each a run of whole documents: their d
 first word of each block. Parquet is only the container, so that any store Spark writes to can hold it.
 
 Rows: null and empty texts give the end id alone; a text of any length is written whole; null doc_ids come first; rows that share
-a doc_id are ordered by text (null first) and each kept, those that tie in both being equal; an empty table gives no rows; other
+a doc_id are ordered by a hash of their text, then by text, and each kept, those that tie in all being equal; an empty table gives no rows; other
 columns, whatever their names, are ignored.
 """
 
@@ -32,7 +32,7 @@ CHUNK_SCHEMA = "part int, chunk int, part_start long, n_ids long, doc_ids array<
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, drops_space: bool = False, chunk: int = CHUNK) -> None:
     """Writes the ids of docs (doc_id, text), each document's followed by end_id.
 
-    One shuffle deals documents out by ranges of doc_id; each task then encodes its range and codes it chunk by chunk."""
+    One shuffle deals documents out by ranges of doc_id and, within one, of a hash of the text, whose sample is all that the driver sees; each task then encodes its range and codes it chunk by chunk."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -64,8 +64,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, drops_
         if doc_ids:
             yield closed()
 
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
-    dealt.mapInArrow(code, CHUNK_SCHEMA).write.parquet(path)
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("by_text", F.xxhash64("text")).repartitionByRange("doc_id", "by_text").sortWithinPartitions("doc_id", "by_text", "text")
+    dealt.select("doc_id", "text").mapInArrow(code, CHUNK_SCHEMA).write.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
