@@ -22,8 +22,6 @@ MARKS = ".,;:!?&%$#*|)"
 #: Pieces that a worker keeps twice over, about 200 bytes each, and characters that it encodes at a time.
 CACHE = 350_000
 BLOCK = 8_000_000
-#: Pieces whose ids are gathered at a time; a longer text stands alone.
-GATHERED = 50_000
 
 
 class PieceEncoder:
@@ -132,7 +130,7 @@ class PieceEncoder:
     def _gather(self, ready: list[str]) -> list[bytes]:
         lists = pc.split_pattern(pa.array(ready, pa.string()), " ")
         words = pc.dictionary_encode(lists.flatten())
-        pieces = words.dictionary.to_pylist()
+        pieces = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         if not self.drops_space:
             self.cache[""] = b""  # what precedes the first piece
         ids = list(map(self.cache.get, pieces))
@@ -141,21 +139,13 @@ class PieceEncoder:
             found |= self._learn([p for p in missing if p not in found])
             ids = [found[p] if x is None else x for p, x in zip(pieces, ids)]
             self._keep(found)
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
-        begins = np.cumsum(lengths) - lengths
-        pool = np.frombuffer(b"".join(ids), self.type)
-        codes, bounds = words.indices.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-        skip = 0 if self.drops_space else len(self.line_feed)
-        out: list[bytes] = []
-        # a few texts at a time, so that the places stay in the processor's cache
-        for part in blocks_by_size(np.diff(bounds).tolist(), GATHERED):
-            own = codes[bounds[part.start] : bounds[part.stop]]
-            each = lengths[own]
-            ends = np.concatenate(([0], np.cumsum(each)))
-            flat = pool[np.repeat(begins[own] - ends[:-1], each) + np.arange(ends[-1])]
-            cuts = ends[bounds[part.start : part.stop + 1] - bounds[part.start]].tolist()
-            out += [flat[a + skip : b].tobytes() for a, b in zip(cuts, cuts[1:])]
-        return out
+        # every piece's ids one behind the other; offsets of 64 bits, since one text may be of any length
+        taken = pa.array(ids, pa.large_binary()).take(words.indices)
+        ends = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1, 8 * taken.offset)
+        flat = memoryview(taken.buffers()[2] or b"")
+        cuts = ends[lists.offsets.to_numpy()].tolist()
+        skip = 0 if self.drops_space else len(self.line_feed) * self.width
+        return [bytes(flat[a + skip : b]) for a, b in zip(cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=4)
