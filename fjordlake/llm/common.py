@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -90,12 +91,37 @@ def as_rows(docs: DataFrame) -> DataFrame:
 AT_ONCE = 4_000_000
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], column: int, most: int = AT_ONCE) -> Iterator[pa.RecordBatch]:
-    """The batches in slices that hold about `most` bytes in a column, so that what a worker unpacks stays small."""
+_kept: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make: Callable[[], object]) -> object:
+    """make(), which the Python worker keeps across its tasks until one asks for another key or keeps nothing."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def give_back() -> None:
+    """Frees what the Python worker keeps and returns unused memory to the system, since workers outlive their stage."""
+    _kept.clear()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], column: int, most: int = AT_ONCE, keeps: bool = False) -> Iterator[pa.RecordBatch]:
+    """The batches in slices that hold about `most` bytes in a column, so that what a worker unpacks stays small.
+
+    Unless keeps, the worker gives back what earlier tasks and this one have left in memory."""
+    if not keeps:
+        give_back()
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         for part in blocks_by_size(sizes, most):
             yield batch.slice(part.start, part.stop - part.start)
+    if not keeps:
+        give_back()
 
 
 def blocks_by_size(sizes: list[int], most: int) -> Iterator[slice]:

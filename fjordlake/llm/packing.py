@@ -22,12 +22,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fjordlake.llm.common import documents, shuffle_partitions, small_batches, texts_of, written
-from fjordlake.llm.tokens import BLOCK, encoder
+from fjordlake.llm.tokens import encoder
 
 WINDOW = 1024
 #: Lengths, the most frequent ones, from which combinations of three are formed; those of two use every length. This bounds the
 #: least-squares problem, not the data: other lengths are packed greedily.
 TRIPLE_LENGTHS = 96
+#: Pieces that a worker keeps twice over while it encodes.
+PIECES = 150_000
 
 
 def combinations(histogram: np.ndarray, window: int, triple_lengths: int = TRIPLE_LENGTHS) -> list[tuple[int, ...]]:
@@ -116,9 +118,9 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, drops_space: bool) -
         from pyspark import TaskContext
 
         part, row = TaskContext.get().partitionId(), 0
-        tokens = encoder(tokenizer, drops_space)
+        tokens = encoder(tokenizer, drops_space, PIECES)
         end = np.array([end_id], tokens.type).tobytes()
-        for batch in small_batches(batches, 1, BLOCK):
+        for batch in small_batches(batches, 1, keeps=True):
             own = [x + end for x in tokens.encode_all(texts_of(batch.column(1)))]
             if own:
                 yield pa.RecordBatch.from_pydict({"part": pa.array([part] * len(own), pa.int32()), "row": pa.array(range(row, row + len(own)), pa.int64()), "doc_id": batch.column(0), "n": pa.array([len(x) // tokens.width for x in own], pa.int64()), "width": pa.array([tokens.width] * len(own), pa.int32()), "ids": pa.array(own, pa.binary())})

@@ -54,7 +54,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, drops_
             ids.clear()
             return pa.RecordBatch.from_pydict(row, schema=pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("part_start", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("blocks", pa.binary()), ("words", pa.binary())]))
 
-        for batch in small_batches(batches, 1, BLOCK):
+        for batch in small_batches(batches, 1, BLOCK, keeps=True):
             for doc_id, own in zip(batch.column(0).to_pylist(), tokens.encode_all(texts_of(batch.column(1)))):
                 doc_ids.append(doc_id)
                 ids.append(own + end)
@@ -72,7 +72,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and ids (little-endian unsigned 32-bit) of each document."""
 
     def take_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, 6):
+        for batch in small_batches(batches, 6, keeps=True):
             for r in batch.to_pylist():
                 ids = simple8b.decode(np.frombuffer(r["words"], "<u8"), np.frombuffer(r["blocks"], "<u4"), r["n_ids"]).astype("<u4").tobytes()
                 ends = np.cumsum(r["lengths"]).tolist()

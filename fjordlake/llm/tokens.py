@@ -7,13 +7,12 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from fjordlake.llm.common import blocks_by_size
+from fjordlake.llm.common import blocks_by_size, kept
 
 #: White space, under any of the definitions in use, other than space and line feed.
 ODD_SPACE = re.compile(r"[^\S \n]")
@@ -148,7 +147,6 @@ class PieceEncoder:
         return [bytes(flat[a + skip : b]) for a, b in zip(cuts, cuts[1:])]
 
 
-@lru_cache(maxsize=4)
-def encoder(path: str, drops_space: bool) -> PieceEncoder:
-    """One for each Python worker, kept across its tasks."""
-    return PieceEncoder(path, drops_space)
+def encoder(path: str, drops_space: bool, cache: int = CACHE) -> PieceEncoder:
+    """One for each Python worker, kept while its tasks encode."""
+    return kept((path, drops_space, cache), lambda: PieceEncoder(path, drops_space, cache))
