@@ -9,9 +9,11 @@ from fjordlake.llm.near_duplicates import op1_ngram_jaccard_join
 from fjordlake.llm.packing import op6_packing
 from fjordlake.llm.quality import op2_quality
 from fjordlake.llm.secrets import op3_secrets
+from fjordlake.llm.spelling import op11_spelling_variants
 from fjordlake.llm.token_output import op8_token_output
 from fjordlake.llm.top_k import op9_top_k_search
 from fjordlake.llm.toxicity import op10_toxicity
+from fjordlake.llm.whitening import op13_embedding_whitening
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_token_output": op8_token_output,
     "op9_top_k_search": op9_top_k_search,
     "op10_toxicity": op10_toxicity,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
