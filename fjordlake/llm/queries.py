@@ -14,6 +14,7 @@ from fjordlake.llm.token_output import op8_token_output
 from fjordlake.llm.top_k import op9_top_k_search
 from fjordlake.llm.toxicity import op10_toxicity
 from fjordlake.llm.whitening import op13_embedding_whitening
+from fjordlake.llm.word_codec import op12_bpe_codec
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_top_k_search": op9_top_k_search,
     "op10_toxicity": op10_toxicity,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_bpe_codec": op12_bpe_codec,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
 
