@@ -20,29 +20,32 @@ import heapq
 import json
 import math
 import os
+import re
 import uuid
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fjordlake.llm.common import documents, kept, kept_and, new_folder, small_batches, texts_of, written
+from fjordlake.llm.common import blocks_by_size, documents, kept, kept_and, new_folder, small_batches, texts_of, written
 from fjordlake.llm.lexicon import Lexicon, compiled
 
 #: Words in the lexicon, and bytes of one, which bound what the driver compiles.
-MOST_WORDS, MOST_BYTES = 65_536, 64
-#: Words that the lexicon lacks whose ids a worker keeps.
-KEPT_WORDS = 100_000
+MOST_WORDS, MOST_BYTES = 262_144, 64
+#: Words that the lexicon lacks whose ids a worker keeps, twice over.
+KEPT_WORDS = 60_000
 #: Symbols up to which the next pair to merge is searched, not taken from a heap.
 FEW = 24
 #: Characters that normalize one by one, and whose classes no edition of Unicode has changed.
-OTHERS = regex.compile(r"[^\x00-ɏ‐-‧€]")
+LATIN = "\x00-ɏ‐-‧€"
+OTHERS = re.compile(f"[^{LATIN}]")
 #: White space by the Unicode property, which is what the vocabularies' rules mean.
 SPACE = r"\t-\r \x85\xa0  -     　"
 
@@ -65,7 +68,8 @@ class WordRules:
         self.special = {t["content"]: t["id"] for t in said["added_tokens"]}
         if any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in said["added_tokens"]):
             raise ValueError("only added tokens that stand as they are, are supported")
-        self.names = {i: s for s, i in (self.vocab | self.special).items()}
+        names = {i: s for s, i in (self.vocab | self.special).items()}
+        self.pieces = pa.array([names.get(i) for i in range(max(names) + 1)], pa.string())
         self.plain_decoder = said["decoder"] is None
         self.ranks: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, pair in enumerate(model["merges"]):
@@ -90,8 +94,14 @@ class WordRules:
         fits = steps == [("NFC", None), ("Replace", " "), ("Lowercase", None)] and len(own) == 2 and own[0].get("invert") and own[0].get("behavior") == "Removed" and own[1].get("type") == "ByteLevel" and not own[1].get("use_regex") and not own[1].get("add_prefix_space")
         if not fits or normal["normalizers"][1]["pattern"] != {"Regex": r"\s+"} or "Regex" not in own[0]["pattern"]:
             return None
-        pattern = own[0]["pattern"]["Regex"].replace(r"[^\s", f"[^{SPACE}")
-        return None if r"\s" in pattern else regex.compile(pattern)
+        pattern = own[0]["pattern"]["Regex"]
+        # the classes spelled out for the characters of the short way, lower-cased ones included
+        reach = regex.findall(f"[{LATIN}]", "".join(map(chr, range(0x3000))))
+        for name in (r"\p{L}", r"\p{N}"):
+            members = "".join(re.escape(c) for c in sorted({*reach, *"".join(reach).lower()}) if regex.match(name, c))
+            pattern = pattern.replace(f"[{name}]", f"[{members}]").replace(name, members)
+        pattern = pattern.replace(r"[^\s", f"[^{SPACE}")
+        return None if r"\s" in pattern or r"\p" in pattern else re.compile(pattern)
 
     def words(self, text: str) -> list[str]:
         """A text's words and added tokens in order."""
@@ -160,12 +170,18 @@ class WordRules:
                 heapq.heappush(heap, (found[0], before[i], found[1]))
         return [x for x in ids if x >= 0]
 
-    def decoded(self, ids: list[int]) -> str:
-        """The text of ids as the library gives it, special tokens among them; without a decoder that is the pieces with blanks between them."""
-        if self.plain_decoder:
-            names = self.names
-            return " ".join([names[i] for i in ids if i in names])
-        return self.library.decode(ids, skip_special_tokens=False)
+    def decoded(self, lists: pa.Array) -> pa.Array:
+        """The texts of lists of ids as the library gives them, special tokens among them; without a decoder that is the pieces with blanks between them."""
+        if not self.plain_decoder:
+            return pa.array([None if ids is None else self.library.decode([i for i in ids if i is not None], skip_special_tokens=False) for ids in lists.to_pylist()], pa.string())
+        ids = pc.if_else(pc.and_(pc.greater_equal(lists.flatten(), 0), pc.less(lists.flatten(), len(self.pieces))), lists.flatten(), None)
+        pieces = self.pieces.take(ids)
+        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        known = pieces.is_valid().to_numpy(zero_copy_only=False)
+        before = np.concatenate(([0], np.cumsum(known)))
+        ends = before[np.concatenate(([0], np.cumsum(counts)))]
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces.drop_null()), " ")
+        return pc.if_else(lists.is_valid(), joined, None)
 
 
 class WordCodec:
@@ -174,21 +190,22 @@ class WordCodec:
     def __init__(self, path: str, lexicon: Lexicon | None, most: int = KEPT_WORDS):
         self.rules, self.lexicon, self.most = WordRules(path), lexicon, most
         self.merged: dict[str, tuple[int, ...]] = {}
-
-    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        index: dict[str, int] = {}
-        codes = [np.array([index.setdefault(w, len(index)) for w in self.rules.words(t)], np.int64) for t in texts]
-        words = list(index)
-        counts, ids = self._ids_of(words)
-        begin = np.cumsum(counts) - counts
-        out = []
-        for own in codes:
-            each = counts[own]
-            total = int(each.sum())
-            # the ids' places: each word's begin, and how far in the word an id is
-            within = np.arange(total) - np.repeat(np.cumsum(each) - each, each)
-            out.append(ids[np.repeat(begin[own], each) + within])
-        return out
+        self.older: dict[str, tuple[int, ...]] = {}  # the last full one; what is used of it again moves on
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each text has, and all their ids one behind the other."""
+        found = [self.rules.words(t) for t in texts]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        coded = pa.array(list(chain.from_iterable(found)), pa.string()).dictionary_encode()
+        del found
+        counts, ids = self._ids_of(coded.dictionary.to_pylist())
+        own = coded.indices.to_numpy(zero_copy_only=False)
+        each = counts[own]
+        ends = np.cumsum(each)
+        # the ids' places: each word's begin, and how far in the word an id is
+        place = np.arange(int(each.sum())) - np.repeat(ends - each - (np.cumsum(counts) - counts)[own], each)
+        per_text = np.diff(np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(sizes)))])
+        return per_text, ids[place]
 
     def _ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self.lexicon is None:
@@ -198,14 +215,7 @@ class WordCodec:
         missing = np.flatnonzero(~known).tolist()
         if not missing:
             return counts, ids
-        merged = []
-        for k in missing:
-            own = self.merged.get(words[k])
-            if own is None:
-                if len(self.merged) >= self.most:
-                    self.merged.clear()
-                own = self.merged[words[k]] = self.rules.merged(words[k])
-            merged.append(own)
+        merged = [self._merged(words[k]) for k in missing]
         lengths = np.fromiter(map(len, merged), np.int64, len(merged))
         tail = np.fromiter((i for m in merged for i in m), np.int64, int(lengths.sum()))
         # the automaton's ids come first, then the merged ones: bring them in the words' order
@@ -218,21 +228,30 @@ class WordCodec:
         return all_counts, out
 
 
+    def _merged(self, word: str) -> tuple[int, ...]:
+        own = self.merged.get(word)
+        if own is None:
+            own = self.older.get(word) or self.rules.merged(word)
+            if len(self.merged) >= self.most:
+                self.older, self.merged = self.merged, {}
+            self.merged[word] = own
+        return own
+
+
 def word_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """word and n of all texts of docs (text), cut as the vocabulary says."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rules = kept(("words", tokenizer), lambda: WordRules(tokenizer))
         for batch in small_batches(batches, 0, keeps=True):
-            own: Counter = Counter()
-            for text in texts_of(batch.column(0)):
-                own.update(rules.words(text))
-            yield pa.RecordBatch.from_pydict({"word": pa.array(own.keys(), pa.string()), "n": pa.array(own.values(), pa.int64())})
+            words = pa.array(list(chain.from_iterable(map(rules.words, texts_of(batch.column(0))))), pa.string()).dictionary_encode()
+            n = np.bincount(words.indices.to_numpy(zero_copy_only=False), minlength=len(words.dictionary))
+            yield pa.RecordBatch.from_arrays([words.dictionary, pa.array(n, pa.int64())], ["word", "n"])
 
     return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def frequent_words(counts: DataFrame, most: int = MOST_WORDS, most_bytes: int = MOST_BYTES) -> list[str]:
+def frequent_words(counts: DataFrame, most: int = MOST_WORDS, most_bytes: int = MOST_BYTES) -> DataFrame:
     """The most frequent words of counts (word, n), no more than `most`: all from a count on, of counts an eighth of a doubling apart."""
     level = F.floor(F.log2("n") * 8).cast("int")
     short = written(counts.filter(F.octet_length("word") <= most_bytes).withColumn("level", level), "word-counts")
@@ -241,13 +260,22 @@ def frequent_words(counts: DataFrame, most: int = MOST_WORDS, most_bytes: int =
         if total + r["n"] > most:
             break
         total, lowest = total + r["n"], r["level"]
-    return [] if lowest is None else [r["word"] for r in short.filter(F.col("level") >= lowest).select("word").collect()]
+    return short.filter(F.lit(False) if lowest is None else F.col("level") >= lowest).select("word")
+
 
+def build_lexicon(words: DataFrame, tokenizer: str) -> str:
+    """Compiles words (word), each merged where it lies, with their ids and gives Spark the file to bring to executors; its name there."""
+    spark = words.sparkSession
 
-def build_lexicon(spark: SparkSession, words: list[str], tokenizer: str) -> str:
-    """Compiles words with their ids and gives Spark the file to bring to executors; its name there."""
-    rules = WordRules(tokenizer)
-    data = compiled(sorted((w.encode("utf-8"), rules.merged(w)) for w in set(words)))
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rules = kept(("words", tokenizer), lambda: WordRules(tokenizer))
+        for batch in batches:
+            own = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_pydict({"word": [w.encode("utf-8") for w in own], "ids": pa.array([np.array(rules.merged(w), "<i4").tobytes() for w in own], pa.binary())}, schema=pa.schema([("word", pa.binary()), ("ids", pa.binary())]))
+
+    merged = words.select("word").distinct().mapInArrow(merge, "word binary, ids binary").collect()
+    data = compiled(sorted((bytes(r["word"]), tuple(np.frombuffer(r["ids"], "<i4").tolist())) for r in merged))
+    del merged
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     path = f"{new_folder(spark, 'lexicon')}/{name}"
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -264,18 +292,26 @@ def _codec(tokenizer: str, name: str | None) -> WordCodec:
 
 def encode(docs: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("doc_id",), most_words: int = MOST_WORDS) -> DataFrame:
     """The columns `keep` of docs and ids of their texts, an array."""
-    name = build_lexicon(docs.sparkSession, frequent_words(word_counts(docs, tokenizer), most_words), tokenizer)
+    name = build_lexicon(frequent_words(word_counts(docs, tokenizer), most_words), tokenizer)
     n = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(tokenizer, name)
         for batch in small_batches(batches, n, keeps=True):
-            ids = codec.encode_all(texts_of(batch.column(n)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(ids, pa.list_(pa.int32()))], [*keep, "ids"])
+            counts, ids = codec.encode_all(texts_of(batch.column(n)))
+            ends = np.concatenate(([0], np.cumsum(counts)))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], lists], [*keep, "ids"])
 
     return docs.select(*keep, "text").mapInArrow(run, kept_and(docs, keep, "ids array<int>"))
 
 
+def slices(batch: pa.RecordBatch, column: int, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """The batch in slices whose lists in a column hold about `most` entries; a longer one stands alone."""
+    for part in blocks_by_size(pc.fill_null(pc.list_value_length(batch.column(column)), 0).to_pylist(), most):
+        yield batch.slice(part.start, part.stop - part.start)
+
+
 def decode(coded: DataFrame, tokenizer: str) -> DataFrame:
     """All columns of coded, where `ids` is an array, and `decoded`, their text; ids of no piece are left out, null ids give null."""
     columns = coded.columns
@@ -284,10 +320,8 @@ def decode(coded: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rules = kept(("words", tokenizer), lambda: WordRules(tokenizer))
         for batch in batches:
-            for start in range(0, batch.num_rows, 64):
-                part = batch.slice(start, 64)
-                texts = [None if ids is None else rules.decoded([i for i in ids if i is not None]) for ids in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*columns, "decoded"])
+            for part in slices(batch, at):
+                yield pa.RecordBatch.from_arrays([*part.columns, rules.decoded(part.column(at))], [*columns, "decoded"])
 
     return coded.mapInArrow(run, T.StructType([*coded.schema.fields, T.StructField("decoded", T.StringType())]))
 
