@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,11 +60,29 @@ def classify_events(events: DataFrame) -> DataFrame:
     return events.groupBy(event_class(F.col("status")).alias("class")).agg(F.count("*").alias("n"))
 
 
+def with_key(payload: Column, key: str, value: Column) -> Column:
+    """A JSON object's text with key set to the JSON text in value, in place of any it has; of text that is no object, the key alone is kept."""
+    @F.pandas_udf("string")
+    def run(payloads: pd.Series, values: pd.Series) -> pd.Series:
+        def one(text, own):
+            try:
+                found = json.loads(text) if text else {}
+            except ValueError:
+                found = {}
+            return json.dumps((found if isinstance(found, dict) else {}) | {key: json.loads(own)}, separators=(",", ":"), ensure_ascii=False)
+
+        return pd.Series([one(t, v) for t, v in zip(payloads, values)], dtype=object)
+
+    return run(payload, value)
+
+
 def inactive_event(events: DataFrame, observed_at: str) -> DataFrame:
     """Events with status INACTIVE; inactive_note says when it was seen and whether the source gave a time, and goes into a payload, too."""
-    note = F.struct(F.lit(observed_at).alias("observed_at"), L.utc_text(F.col("version")).alias("source_event_at"), F.col("version").isNotNull().alias("source_event_at_reliable"))
-    payload = F.col("raw_payload") if "raw_payload" in events.columns else None
-    noted = [] if payload is None else [F.when(payload.endswith("}") & (payload != "{}"), F.concat(F.substring(payload, F.lit(1), F.length(payload) - 1), F.lit(f',"{INACTIVE_KEY}":'), F.to_json(note), F.lit("}"))).otherwise(F.to_json(F.struct(note.alias(INACTIVE_KEY)))).alias("raw_payload")]
+    note = F.struct(F.lit(observed_at).alias("observed_at"), L.utc_text(F.col("version")).alias("source_event_at"), F.col("version").isNotNull().alias("source_event_at_reliable"), F.col("external_id").alias("external_id"))
+    noted = []
+    if "raw_payload" in events.columns:
+        marked = with_key(F.col("raw_payload"), INACTIVE_KEY, F.to_json(note, {"ignoreNullFields": "false"}))
+        noted = [with_key(marked, STATUS_KEY, F.lit('"INACTIVE"')).alias("raw_payload")]
     return events.select(
         *(F.col(c) for c in events.columns if c not in ("status", "source_event_id", "raw_payload")),
         *noted,
