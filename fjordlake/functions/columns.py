@@ -57,6 +57,16 @@ def unicode_slug(c: Column, most: int = 80) -> Column:
     return F.when(clean == "", "row").otherwise(F.substring(clean, 1, most))
 
 
+def has_path(payload: Column, path: str) -> Column:
+    """Whether a JSON text has a path, a null at its end included, in contrast to one without it; false for text that can't be read."""
+    return F.variant_get(F.try_parse_json(payload), path, "variant").isNotNull()
+
+
+def is_json_null(payload: Column, path: str) -> Column:
+    """Whether the path is there and holds null."""
+    return F.coalesce(F.is_variant_null(F.variant_get(F.try_parse_json(payload), path, "variant")), F.lit(False))
+
+
 def sorted_map(m: Column) -> Column:
     return F.map_from_entries(F.array_sort(F.map_entries(m)))
 

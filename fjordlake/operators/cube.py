@@ -75,15 +75,29 @@ def check_cartesian(cubes: DataFrame) -> DataFrame:
     return rows.select("table_id", "source_file", expected.alias("expected"), found.alias("found"), (expected == found).alias("matches"))
 
 
-def cube_flatten(cubes: DataFrame, version: str = "n1", batch_id: str = "batch", lenient: bool = False) -> DataFrame:
+#: Cells of a cube that one task flattens; a larger cube is dealt out in ranges of its values.
+SLICE = 1 << 16
+
+
+def _sliced(rows: DataFrame, cells: Column, slice_cells: int) -> DataFrame:
+    """rows with their values in ranges: offset and part. Ranges of large cubes are dealt out to tasks before they are exploded."""
+    starts = F.sequence(F.lit(0), F.greatest(F.least(F.size("value").cast("long"), cells) - 1, F.lit(0)).cast("int"), F.lit(slice_cells))
+    parts = F.transform(starts, lambda at: F.struct(at.alias("offset"), F.slice("value", at + 1, slice_cells).alias("part")))
+    cut = rows.select(*(c for c in rows.columns if c != "value"), F.explode(parts).alias("x")).select("*", "x.offset", "x.part").drop("x")
+    return cut.repartition("table_id", "source_file", "offset")
+
+
+def cube_flatten(cubes: DataFrame, version: str = "n1", batch_id: str = "batch", lenient: bool = False, slice_cells: int = SLICE) -> DataFrame:
     """Observations of all cells. Cells without a value go, and cubes whose values don't match their sizes give none.
 
-    lenient: such cells stay, and surplus values beyond the last cell are cut off."""
+    lenient: such cells stay, and surplus values beyond the last cell are cut off. A cube is read by one task, as its file is one
+    JSON text; its cells are flattened by as many tasks as it has slices."""
     rows = _with_codes(cubes)
     cells = F.aggregate("sizes", F.lit(1).cast("long"), lambda a, x: a * x)
     if not lenient:
         rows = rows.filter(cells == F.size("value"))
-    exploded = rows.withColumn("time_name", time_dimension()).withColumn("metric_name", metric_dimension()).withColumn("cells", cells).select("*", F.posexplode("value").alias("place", "cell"))
+    sliced = _sliced(rows.withColumn("time_name", time_dimension()).withColumn("metric_name", metric_dimension()).withColumn("cells", cells), cells, slice_cells)
+    exploded = sliced.select("*", F.posexplode("part").alias("within", "cell")).withColumn("place", F.col("offset") + F.col("within"))
     exploded = exploded.filter(F.col("place") < F.col("cells")) if lenient else exploded.filter(F.col("cell").isNotNull())
     code = lambda d, i: F.get(F.get(F.col("codes"), i), ((F.col("place") / F.get(F.col("strides"), i)).cast("long") % F.get(F.col("sizes"), i)).cast("int"))
     coded = exploded.withColumn("pairs", F.transform("id", lambda d, i: F.array(d, code(d, i))))

@@ -81,12 +81,16 @@ def stored_posting(row: dict) -> dict:
 
 
 _INPUT = ("external_id", "seq", "stored", "version", *SCALARS, "raw_payload", "payload_hash", "source_event_id", *STAMPS)
-_BEFORE = tuple(f"previous_{c}" for c in (*SCALARS, "source_event_version", "payload_hash"))
-_OUTPUT = ("external_id", "seq", "action", "is_last", *POSTING, *_BEFORE)
+#: What audit rows tell of a posting before and after.
+AUDITED = (*SCALARS, "source_event_version", "payload_hash", "has_detail")
+_BEFORE = tuple(f"previous_{c}" for c in AUDITED)
+_OUTPUT = ("external_id", "seq", "action", "is_last", *POSTING, "has_detail", *_BEFORE)
+#: Fixed value: the payload's key of a posting's details. It is there even where its value is null.
+DETAIL_KEY = "nav_detail"
 
 
 def _kind(c: str, seq: str) -> str:
-    return "long" if c.endswith("version") else "boolean" if c in ("stored", "is_last") else seq if c == "seq" else "string"
+    return "long" if c.endswith("version") else "boolean" if c in ("stored", "is_last") or c.endswith("has_detail") else seq if c == "seq" else "string"
 
 
 def _ddl(columns: tuple[str, ...], seq: str) -> str:
@@ -107,8 +111,9 @@ def as_input(rows: DataFrame, stored: bool, seq: str) -> DataFrame:
 
 
 def acted_row(key: str, seq, action: str, before: dict | None, after: dict, is_last: bool) -> dict:
-    was = {f"previous_{c}": before[c] for c in (*SCALARS, "source_event_version", "payload_hash")} if action == "merge" else dict.fromkeys(_BEFORE)
-    return {"external_id": key, "seq": seq, "action": action, "is_last": is_last} | after | was
+    has_detail = lambda p: DETAIL_KEY in (p["raw_payload"] or "") and DETAIL_KEY in read_payload(p["raw_payload"])
+    was = {f"previous_{c}": has_detail(before) if c == "has_detail" else before[c] for c in AUDITED} if action == "merge" else dict.fromkeys(_BEFORE)
+    return {"external_id": key, "seq": seq, "action": action, "is_last": is_last, "has_detail": has_detail(after)} | after | was
 
 
 def _fold(seq: str, stamps: dict | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -170,9 +175,8 @@ def state_after(acted: DataFrame) -> DataFrame:
 
 def audit_of(acted: DataFrame) -> DataFrame:
     """A row for each insert and merge with the values before and after."""
-    values = (*SCALARS, "source_event_version", "payload_hash")
-    before = F.struct(*(F.col(f"previous_{c}").alias(c) for c in values))
-    return acted.filter(F.col("action").isin("insert", "merge")).select("external_id", "seq", F.col("action").alias("change_kind"), F.when(F.col("action") == "merge", before).alias("previous_values"), F.struct(*values).alias("new_values"))
+    before = F.struct(*(F.col(f"previous_{c}").alias(c) for c in AUDITED))
+    return acted.filter(F.col("action").isin("insert", "merge")).select("external_id", "seq", F.col("action").alias("change_kind"), F.when(F.col("action") == "merge", before).alias("previous_values"), F.struct(*AUDITED).alias("new_values"))
 
 
 def posting_hash(rows: DataFrame) -> Column:

@@ -10,14 +10,15 @@ from fjordlake.plans.config import SignalConfig
 
 
 def change_quality(start: Column, percent: Column, change: Column, cfg: SignalConfig, unspecified: Column, total: Column, complete: Column, units_match: Column) -> Column:
-    """score and flags: a weighted sum of baseline size, change size, labels and units, then penalties."""
+    """score, flags and reasoning (JSON): a weighted sum of baseline size, change size, labels and units, then penalties."""
     unit = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(1.0))
-    weighted = (
-        0.34 * unit(start / max(1.0, cfg.min_baseline * 3))
-        + 0.22 * unit(F.abs(change) / max(1e-9, cfg.min_absolute_change * 5))
-        + 0.22 * F.when(complete, 1.0).otherwise(0.45)
-        + 0.22 * F.when(units_match, 1.0).otherwise(0.0)
-    )
+    parts = {
+        "baseline_size": (0.34, unit(start / max(1.0, cfg.min_baseline * 3))),
+        "absolute_change_magnitude": (0.22, unit(F.abs(change) / max(1e-9, cfg.min_absolute_change * 5))),
+        "label_completeness": (0.22, F.when(complete, 1.0).otherwise(0.45)),
+        "unit_consistency": (0.22, F.when(units_match, 1.0).otherwise(0.0)),
+    }
+    weighted = sum((w * c for w, c in parts.values()), F.lit(0.0))
     unstable = (F.abs(percent) >= 40) & (start < 250)
     score = weighted * F.when(unspecified, 0.55).otherwise(1.0) * F.when(total, 0.35).otherwise(1.0) * F.when(unstable, 0.75).otherwise(1.0)
     named = (
@@ -30,13 +31,25 @@ def change_quality(start: Column, percent: Column, change: Column, cfg: SignalCo
         (unstable, "unstable_slice"),
         (score < 0.55, "low_confidence_preview_only"),
     )
-    return F.struct(unit(L.half_even(score, 4)).alias("score"), F.array_compact(F.array(*(F.when(c, F.lit(n)) for c, n in named))).alias("flags"))
+    flags = F.array_compact(F.array(*(F.when(c, F.lit(n)) for c, n in named)))
+    reasoning = F.struct(
+        F.struct(*(L.half_even(c, 4).alias(k) for k, (_, c) in parts.items())).alias("components"),
+        F.struct(*(F.lit(w).alias(k) for k, (w, _) in parts.items())).alias("weights"),
+        F.array_remove(flags, "noisy_change").alias("penalty_flags"),
+    )
+    return F.struct(unit(L.half_even(score, 4)).alias("score"), flags.alias("flags"), F.to_json(reasoning).alias("reasoning"))
 
 
 def snapshot_quality_score(n: Column) -> Column:
     return L.half_even(F.least(F.lit(1.0), 0.45 + 0.12 * F.least(n, F.lit(20)) / 20 + F.when(n >= 3, 0.43).otherwise(0.0)), 4)
 
 
+def snapshot_reasoning(n: Column) -> Column:
+    """JSON of what a snapshot's score is made of."""
+    components = F.struct(F.lit(0.45).alias("base"), L.half_even(0.12 * F.least(n, F.lit(20)) / 20, 4).alias("source_count"), F.when(n >= 3, 0.43).otherwise(0.0).alias("enough_sources"))
+    return F.to_json(F.struct(components.alias("components"), n.alias("aggregated_rows"), F.array().cast("array<string>").alias("penalty_flags")))
+
+
 def quality_flags(parts: Column, fixed: list[str]) -> Column:
     return F.array_sort(F.array_distinct(F.concat(parts["flags"], F.array(*(F.lit(f) for f in fixed)))))
 

@@ -63,12 +63,22 @@ def list_by_ids(state: DataFrame, ids: list[str]) -> DataFrame:
     return state.filter(F.col("external_id").isin(wanted)).orderBy("external_id")
 
 
+def has_detail(state: DataFrame) -> Column:
+    """Whether a posting has details: its payload has their key, even with null; without payloads, the column `detail` is filled."""
+    return L.has_path(F.col("raw_payload"), "$.nav_detail") if "raw_payload" in state.columns else F.col("detail").isNotNull()
+
+
+def missing_detail(state: DataFrame) -> DataFrame:
+    """Open postings without details, for `events.due_details` to fall back on."""
+    return state.filter((F.col("status") == "ACTIVE") & ~has_detail(state))
+
+
 def source_health(state: DataFrame, queue: DataFrame, runs: DataFrame, now: Column) -> DataFrame:
     """One row: the inventory in one pass, duplicates, the retry queue and the latest sync and reconcile runs."""
-    active = F.col("status") == "ACTIVE"
+    active, detailed = F.col("status") == "ACTIVE", has_detail(state)
     inventory = state.agg(
         F.count("*").alias("total"), F.count_if(active).alias("active"), F.count_if(F.col("status") == "INACTIVE").alias("inactive"),
-        F.count_if(active & F.col("detail").isNotNull()).alias("active_with_detail"), F.count_if(active & F.col("detail").isNull()).alias("active_missing_detail"),
+        F.count_if(active & detailed).alias("active_with_detail"), F.count_if(active & ~detailed).alias("active_missing_detail"),
         F.count_if(active & (F.col("expires_at") < now)).alias("active_expired"), F.count_if(active & F.col("expires_at").isNull()).alias("active_without_expiry"),
         F.max("source_event_version").alias("latest_source_event_at"),
     )

@@ -140,9 +140,17 @@ def signal_hash(signal_type: Column, dimensions: Column, start: Column, end: Col
 
 
 def lineage_object(rows: list[Column], cfg: SignalConfig) -> Column:
-    """JSON of the datasets, versions and files behind a signal."""
+    """JSON of the datasets, versions and files behind a signal: those of its first row, the second's where they may differ, and lists of both.
+
+    Signatures are counted where rows have them; the importer's version is that of the first row's, if it has one, else the setting's."""
+    first, names = rows[0], ("normalization_version", "transformation_version", "ingestion_batch_id", "statistical_dataset_id", "dataset_version_id", "source_file", "table_id")
     each = lambda c: F.array_distinct(F.array_compact(F.array(*(r[c] for r in rows))))
-    return F.to_json(F.struct(*(each(c).alias(c) for c in ("statistical_dataset_id", "dataset_version_id", "source_file", "table_id", "normalization_version", "transformation_version")), F.lit(cfg.importer_version).alias("importer_version")))
+    signature = lambda r: L.blank_to_null(F.coalesce(r["observation_signature"], r["id"])) if cfg.has_signatures else L.blank_to_null(r["id"])
+    second = [rows[1]["source_file"].alias("source_file_b"), rows[1]["dataset_version_id"].alias("dataset_version_id_b")] if len(rows) > 1 else []
+    return F.to_json(F.struct(
+        F.lit(cfg.logic_version).alias("signal_logic_version"), F.lit(cfg.importer_version).alias("importer_version"), *(first[c].alias(c) for c in names), *second,
+        each("statistical_dataset_id").alias("source_dataset_ids"), each("dataset_version_id").alias("source_dataset_version_ids"), F.size(F.array_compact(F.array(*(signature(r) for r in rows)))).alias("source_observation_signature_count"),
+    ), {"ignoreNullFields": "false"})
 
 
 def explainability(cfg: SignalConfig) -> Column:
@@ -191,7 +199,7 @@ def emit_changes(judged: DataFrame, signal_type: str, title: str, cfg: SignalCon
         F.to_json(L.sorted_map(F.col("end.dimensions"))).alias("dimensions_json"), F.to_json(L.sorted_map(labels)).alias("dimension_labels_json"),
         explainability_note(cfg).alias("explainability_note"), explainability(cfg).alias("explainability_summary_json"),
         lineage_object([F.col("start"), F.col("end")], cfg).alias("lineage_json"),
-        quality.quality_flags(parts, fixed).alias("quality_flags"), parts["score"].alias("signal_quality_score"),
+        quality.quality_flags(parts, fixed).alias("quality_flags"), parts["score"].alias("signal_quality_score"), parts["reasoning"].alias("quality_reasoning_json"),
         signal_hash(F.lit(signal_type), F.col("end.dimensions"), F.col("period_start"), F.col("period_end"), ids, cfg.logic_version).alias("signal_deterministic_hash"),
         F.lit(float(cfg.min_baseline)).alias("min_baseline"), code.alias("contents_code"), label.alias("contents_code_label"),
     )
@@ -218,6 +226,18 @@ def industry_education_signal(obs: DataFrame, cfg: SignalConfig) -> DataFrame:
     return emit_changes(change_filters(period_pairs(_with_dimensions(obs, ("12850",), "NACE2007", ("Fagfelt", "UtdNivaa"))), cfg), "industry_education_employment_signal", "Industry (NACE) + education employment", cfg)
 
 
+def without_total_members(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Rows without those that sum up others: whose member of a dimension beyond the keys is a total although the dimension has parts.
+
+    A dimension of which there is nothing but totals stays: nothing would be counted twice, and all would be lost."""
+    others = lambda m: F.map_filter(slice_dimensions(m), lambda k, _: ~k.isin(*keys))
+    is_total = lambda code, label: F.coalesce(F.upper(F.trim(code)) == "TOT", F.lit(False)) | L.contains_any(label, TOTALS)
+    members = rows.select(F.explode(others(F.col("dimensions"))).alias("name", "code"), "labels").groupBy("name").agg(F.count_if(~is_total(F.col("code"), F.element_at("labels", F.col("name")))).alias("parts"))
+    with_parts = members.filter(F.col("parts") > 0).agg(F.collect_list("name").alias("with_parts"))  # a name for each dimension
+    repeats = F.exists(F.map_entries(others(F.col("dimensions"))), lambda e: F.array_contains("with_parts", e["key"]) & is_total(e["value"], F.element_at(F.col("labels"), e["key"])))
+    return rows.crossJoin(F.broadcast(with_parts)).filter(~repeats).drop("with_parts")  # one row
+
+
 def snapshot_buckets(obs: DataFrame, table_id: str, keys: tuple[str, ...], cfg: SignalConfig) -> DataFrame:
     """Sums of the newest period by the given dimensions (the first is required), with a guard against mixed measures.
 
@@ -227,6 +247,8 @@ def snapshot_buckets(obs: DataFrame, table_id: str, keys: tuple[str, ...], cfg:
     own = rows.join(F.broadcast(newest), "period").filter(F.map_contains_key("dimensions", F.lit(keys[0])))
     if cfg.exclude_unspecified:
         own = own.filter(~has_unspecified(F.col("labels")))
+    if cfg.exclude_totals == "rows":
+        own = without_total_members(own, keys)
     text = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
     buckets = own.groupBy(*(F.col("dimensions")[k].alias(k) for k in keys)).agg(
         F.min("period").alias("period"), F.sum("value").alias("value_end"), F.count("value").alias("n_values"),
@@ -255,7 +277,7 @@ def emit_snapshots(buckets: DataFrame, signal_type: str, title: str, table_id: s
         F.to_json(L.sorted_map(F.col("first.dimensions"))).alias("dimensions_json"), F.to_json(L.sorted_map(F.col("first.labels"))).alias("dimension_labels_json"),
         F.format_string("Summed %d observations of one slice in period %s.", "n_values", "period").alias("explainability_note"),
         F.to_json(F.struct("period", "n_values")).alias("explainability_summary_json"), lineage_object([F.col("first")], cfg).alias("lineage_json"),
-        F.array(*(F.lit(f) for f in flags)).alias("quality_flags"), quality.snapshot_quality_score(F.col("n_values")).alias("signal_quality_score"),
+        F.array(*(F.lit(f) for f in flags)).alias("quality_flags"), quality.snapshot_quality_score(F.col("n_values")).alias("signal_quality_score"), quality.snapshot_reasoning(F.col("n_values")).alias("quality_reasoning_json"),
         signal_hash(F.lit(signal_type), F.col("first.dimensions"), F.col("period"), F.col("period"), F.col("ids"), cfg.logic_version).alias("signal_deterministic_hash"),
         F.lit(None).cast("double").alias("min_baseline"), code.alias("contents_code"), label.alias("contents_code_label"),
     )

@@ -12,10 +12,11 @@ class SignalConfig:
     growth_percent: float = 5
     decline_percent: float = -5
     exclude_unspecified: bool = True
-    exclude_totals: bool = True
+    exclude_totals: bool | str = True  #: "rows": total members of other dimensions are not summed with their parts, either
     exclude_small: bool = True
     logic_version: str = "1"
     importer_version: str = "unknown"
+    has_signatures: bool = False  #: whether observations have observation_signature besides id
 
 
 #: Keys of the time dimension, and phrases that mark unspecified and total categories.

@@ -269,7 +269,7 @@ _KNOWN = "row_no % 4 = 0"
 def upserted(spark, sf_dir):
     rows = slugged(spark, sf_dir)
     known = rows.filter(F.col("row_no") % 4 == 0).groupBy("slug").agg(F.lit("old").alias("name"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("kind"))
-    return registry.upsert_sources(rows, known)
+    return registry.upsert_sources(rows.select("slug", "name", "url", "kind", "row_no"), known)
 
 
 @query("upsert_sources", f"SELECT slug, max_by(coalesce(name, ''), row_no) AS name, max_by(url, row_no) AS url FROM (SELECT *, {_SLUG} AS slug FROM ({X.SOURCES}) s) t GROUP BY slug")
