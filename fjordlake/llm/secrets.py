@@ -1,8 +1,8 @@
 """Secret scans in Spark SQL expressions alone: fixed patterns, and a battery of randomness tests on long tokens.
 
 Patterns name assigned passwords and keys, access key ids and long hexadecimal runs. The battery looks at every run of 20 or
-more characters of the base-64 alphabets. Its alphabet is inferred (decimal, hexadecimal, base 32, lower-case base 36 or base
-64). Three tests ask whether it looks random: chi-squared uniformity over that alphabet, runs above and below the alphabet's
+more characters of the base-64 alphabets. Its alphabet is inferred (decimal, hexadecimal, base 32, lower-case base 36, base 62,
+one of the two of base 64, or both mixed). Three tests ask whether it looks random: chi-squared uniformity over that alphabet, runs above and below the alphabet's
 middle, and the serial correlation of neighbours. A token that none of them rejects is still not a finding, since short
 ordinary words pass too: its p-value is that of what it shows arising from ordinary text of its length. That is an even spread
 over the alphabet; for hexadecimal digits also that no other letter occurs; and for alphabets of digits and letters of one case
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fjordlake.llm.common import documents
+from fjordlake.llm.common import documents, written
 
 #: Fixed patterns of the three base kinds, in the order in which kinds with one start are listed.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -37,6 +37,9 @@ ALPHABETS = (
     (r"^[0-9A-F]+$", "0123456789ABCDEF"),
     (r"^[A-Z2-7]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
     (r"^[0-9a-z]+$", "0123456789abcdefghijklmnopqrstuvwxyz"),
+    (r"^[0-9A-Za-z]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
+    (r"^[0-9A-Za-z+/]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
+    (r"^[0-9A-Za-z_-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
     (r"", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"),
 )
 #: By an alphabet's size: the last symbol before digits and letters meet, for alphabets of digits and letters of one case.
@@ -51,26 +54,57 @@ FALSE_SHARE = 0.01
 #: P-value classes for the false-discovery control: tenths of powers of ten.
 P_CLASSES = 300
 
-_NO_SPANS = "cast(array() as array<struct<start:int,end:int,rank:int>>)"
 
+def _let(x: Column, f) -> Column:
+    """f of x, x being evaluated once."""
+    return F.element_at(F.transform(F.array(x), f), 1)
 
-def spans_of(text: Column, pattern: str, rank: int, keep=None) -> Column:
-    """Leftmost, non-overlapping matches: start, end and the kind's rank. keep: from the matched text and its group 2 to whether it counts."""
+
+def _root(items: Column) -> Column:
+    return F.greatest(F.ceil(F.sqrt(F.size(items).cast("double"))), F.lit(1)).cast("int")
+
+
+def _blocks(items: Column) -> Column:
+    """items in slices of about the square root of their number, so that what is built up item by item stays short."""
+    return _let(_root(items), lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.size(items), F.lit(1)), k), lambda i: F.slice(items, i, k)))
+
+
+_INTS = "cast(array() as array<int>)"
+
+
+def _before(values: Column, combine) -> Column:
+    """For each of values (whole numbers) what combine, from 0 on, makes of those before it.
+
+    Block by block, since an array is copied with each item that is added to it."""
+
+    def running(x: Column, first: Column) -> Column:
+        nothing = F.struct(first.cast("int").alias("at"), F.expr(_INTS).alias("out"))
+        return F.aggregate(x, nothing, lambda a, n: F.struct(combine(a["at"], n).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+
+    whole = lambda x: F.aggregate(x, F.lit(0), combine)
+    return _let(_blocks(values), lambda parts: F.flatten(F.zip_with(parts, running(F.transform(parts, whole), F.lit(0)), running)))
+
+
+def hits_of(text: Column, pattern: str, rank: int, keep=None) -> Column:
+    """Leftmost, non-overlapping matches: start, end, the kind's rank and the matched text. keep: from group 2 to whether a match counts."""
     found = F.arrays_zip(
         F.transform(F.split(text, pattern, -1), lambda x: F.char_length(x)).alias("gap"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
         *((F.regexp_extract_all(text, F.lit(pattern), F.lit(2)).alias("group"),) if keep else ()),
     )
-    nothing = F.struct(F.lit(0).alias("at"), F.expr(_NO_SPANS).alias("spans"))
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + x["gap"]
-        end = start + F.char_length(x["hit"])
-        own = F.array(F.struct(start.alias("start"), end.alias("end"), F.lit(rank).alias("rank")))
-        counts = x["hit"].isNotNull() & (keep(x["group"]) if keep else F.lit(True))
-        return F.struct(F.coalesce(end, start).alias("at"), F.when(counts, F.concat(state["spans"], own)).otherwise(state["spans"]).alias("spans"))
+    def placed(x: Column) -> Column:
+        lengths = F.transform(x, lambda m: m["gap"] + F.coalesce(F.char_length(m["hit"]), F.lit(0)))
+        spot = lambda m, at: F.struct((at + m["gap"]).alias("start"), (at + m["gap"] + F.char_length(m["hit"])).alias("end"), F.lit(rank).alias("rank"), m["hit"].alias("hit"), (m["hit"].isNotNull() & (keep(m["group"]) if keep else F.lit(True))).alias("counts"))
+        return F.filter(F.zip_with(x, _before(lengths, lambda a, n: a + n), spot), lambda m: m["counts"])
+
+    hits = F.transform(_let(found, placed), lambda m: F.struct(*(m[c].alias(c) for c in ("start", "end", "rank", "hit"))))
+    return F.when(text.rlike(pattern), hits).otherwise(F.expr("cast(array() as array<struct<start:int,end:int,rank:int,hit:string>>)"))
+
 
-    return F.when(text.rlike(pattern), F.aggregate(found, nothing, step, lambda s: s["spans"])).otherwise(F.expr(_NO_SPANS))
+def spans_of(text: Column, pattern: str, rank: int, keep=None) -> Column:
+    """The hits without their text."""
+    return F.transform(hits_of(text, pattern, rank, keep), lambda m: F.struct(*(m[c].alias(c) for c in ("start", "end", "rank"))))
 
 
 def base_spans(text: Column) -> list[Column]:
@@ -87,10 +121,14 @@ def _two_sided(z: Column) -> Column:
 
 
 def battery(text: Column, spans: Column) -> Column:
-    """For each span the tests' results: start, end, rank, n (length), p_random (least of the battery, corrected) and p_text."""
+    """For each span of a text the tests' results: start, end, rank, n (length), p_random (least of the battery, corrected) and p_text."""
+    return judged(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.substring(text, s["start"] + 1, s["end"] - s["start"]).alias("hit"))))
+
+
+def judged(hits: Column) -> Column:
+    """The same of hits, which hold their text."""
     alphabet = lambda t: F.coalesce(*(F.when(t.rlike(p), F.lit(symbols)) for p, symbols in ALPHABETS if p), F.lit(ALPHABETS[-1][1]))
-    token = lambda s: F.regexp_replace(F.substring(text, s["start"] + 1, s["end"] - s["start"]), "=+$", "")
-    named = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), token(s).alias("t")))
+    named = F.transform(hits, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.regexp_replace(s["hit"], "=+$", "").alias("t")))
     placed = F.transform(
         named,
         lambda s: F.struct(
@@ -189,34 +227,25 @@ def discovery_limits(counts: list[tuple[int, int, int]], false_share: float) ->
 def find_secrets(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), false_share: float = FALSE_SHARE) -> DataFrame:
     """The columns `keep` of each row of docs, assign, access, hex and random: spans (start, end, rank) of each kind.
 
-    The first job counts tokens by classes of length and p-value; that bounded table sets the limits of the second."""
+    Spans and the tokens' results are written once; a count of tokens by classes of length and p-value, a bounded table, then sets
+    the limits that choose among them."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    tokens = battery(text, spans_of(text, TOKEN, KINDS.index("random")))
-    counts = (
-        docs.filter(F.col("text").rlike(TOKEN))
-        .select(F.explode(tokens).alias("x"))
-        .groupBy(_length_class(F.col("x.n")).alias("length"), F.when(F.col("x.p_random") > LEVEL, _p_class(F.col("x.p_text"))).otherwise(F.lit(0)).alias("p"))
-        .agg(F.count("*").alias("n"))
-        .collect()
-    )
+    # access ids and hexadecimal runs lie whole in tokens: what a pattern names is no finding of the battery
+    result = lambda x, m: F.struct(*(x[c].alias(c) for c in ("start", "end", "rank")), _length_class(x["n"]).alias("length"), F.when(x["p_random"] > LEVEL, _p_class(x["p_text"])).otherwise(F.lit(0)).alias("p"), m["hit"].rlike(f"{ACCESS}|{HEX}").alias("named"))
+    kept = _let(hits_of(F.col("text"), TOKEN, KINDS.index("random")), lambda hits: F.zip_with(judged(hits), hits, result))
+    rows = docs.select(*keep, text.alias("text")).select(*keep, *(s.alias(k) for s, k in zip(base_spans(F.col("text")), KINDS)), kept.alias("tokens"))
+    scanned = written(rows, "spans")
+    counts = scanned.select(F.explode("tokens").alias("x")).groupBy("x.length", "x.p").agg(F.count("*").alias("n")).collect()
     limits = discovery_limits([(r["length"], r["p"], r["n"]) for r in counts], false_share)
-    limit = F.lit(None).cast("int")
-    base = docs.select(*keep, text.alias("text"), *(s.alias(k) for s, k in zip(base_spans(text), KINDS)))
-    none = F.expr(_NO_SPANS)
-    if not limits:
-        return base.select(*keep, *KINDS[:3], none.alias("random"))
 
     def is_finding(x: Column) -> Column:
-        least = limit
+        own = F.lit(None).cast("int")
         for length, p in sorted(limits.items()):
-            least = F.when(_length_class(x["n"]) == length, F.lit(p)).otherwise(least)
-        return (x["p_random"] > LEVEL) & (_p_class(x["p_text"]) >= least)
+            own = F.when(x["length"] == length, F.lit(p)).otherwise(own)
+        return F.coalesce(~x["named"] & (x["p"] > 0) & (x["p"] >= own), F.lit(False))
 
-    found = F.filter(battery(F.col("text"), spans_of(F.col("text"), TOKEN, KINDS.index("random"))), is_finding)
-    known = F.concat("access", "hex")
-    new = F.filter(found, lambda x: ~F.exists(known, lambda s: (s["start"] < x["end"]) & (x["start"] < s["end"])))
-    spans = F.transform(new, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["rank"].alias("rank")))
-    return base.select(*keep, *KINDS[:3], F.when(F.col("text").rlike(TOKEN), spans).otherwise(none).alias("random"))
+    spans = F.transform(F.filter("tokens", is_finding), lambda x: F.struct(*(x[c].alias(c) for c in ("start", "end", "rank"))))
+    return scanned.select(*keep, *KINDS[:3], spans.alias("random"))
 
 
 def in_order(*kinds: str) -> Column:
@@ -235,17 +264,25 @@ def redact_secrets(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("own_row"), "text")
     found = find_secrets(rows, keep=("own_row",))
     text = F.col("own_row.text")
-    nothing = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    spans = in_order(*KINDS)
 
-    def step(a: Column, s: Column) -> Column:
-        before = F.substring(text, a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0)))
-        return F.struct(F.greatest(s["end"], a["at"]).alias("at"), F.when(s["end"] <= a["at"], a["out"]).when(s["start"] < a["at"], a["out"]).otherwise(F.concat(a["out"], before, F.lit(mark))).alias("out"))
+    def cleaned(own: Column) -> Column:
+        """Text between spans and marks; a span that begins in one before it adds nothing. Blocks of spans share a piece of the text, so that no span counts characters from its beginning."""
+        ends = F.transform(own, lambda s: s["end"])
+        placed = F.zip_with(own, _before(ends, lambda a, e: F.greatest(a, e)), lambda s, before: F.struct(before.alias("before"), s["start"].alias("start")))
 
-    spans = in_order(*KINDS)
-    clean = F.aggregate(spans, nothing, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.char_length(text))))
-    columns = {"text": F.when(F.size(spans) > 0, clean).otherwise(text)}
+        def block(b: Column) -> Column:
+            base = F.element_at(b, 1)["before"]
+            piece = F.substring(text, base + 1, F.greatest(F.element_at(b, -1)["start"] - base, F.lit(0)))
+            part = lambda p: F.array_join(F.transform(b, lambda s: F.when(s["start"] >= s["before"], F.concat(F.substring(p, s["before"] - base + 1, s["start"] - s["before"]), F.lit(mark))).otherwise("")), "")
+            return _let(piece, part)
+
+        return F.concat(F.array_join(_let(placed, lambda p: F.transform(_blocks(p), block)), ""), F.substring(text, F.array_max(ends) + 1, F.char_length(text)))
+
+    clean = F.when(F.size(spans) > 0, _let(spans, cleaned))
+    columns = {"text": F.coalesce(clean, text)}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.size(spans) > 0, F.char_length(clean).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("own_row.n_chars"))
+        columns["n_chars"] = F.when(clean.isNotNull(), F.char_length(clean).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("own_row.n_chars"))
     return found.select(*(columns.get(c, F.col(f"own_row.`{c}`")).alias(c) for c in docs.columns))
 
 
