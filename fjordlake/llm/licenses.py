@@ -1,18 +1,24 @@
 """License scans in DataFrame expressions alone: sparse word n-gram logistic regression, a calibrated unknown class, templates.
 
-A paragraph is a line of a text. Its words are runs of ASCII letters and digits, lower-cased; a longer paragraph is read in
-overlapping stretches of STRETCH words, all of them. One logistic regression with an L1 penalty over the presence of words and
-word pairs says whether a stretch states a license, one for each license whether it is that one, so that a stretch may name two.
-They learn on the driver from the notices below, not from the input, so equal texts always score alike. Scores are calibrated on
-folds that leave out whole licenses: what names a license that a model never saw counts as a miss of all it knows, and a stretch
-that states a license but reaches one half for none is `unknown`. A stretch that holds nearly all word pairs of a license's
-template is that license whatever its score.
+A paragraph is what lies between blank lines. It is read line by line and, since notices are wrapped, as a whole; either way its
+words are runs of ASCII letters and digits, lower-cased, and what is longer than STRETCH words is read in overlapping stretches, all
+of them. One logistic regression with an L1 penalty over the presence of words and word pairs says whether a stretch states a license,
+one for each license whether it is that one, so that a stretch may name two. They learn on the driver from the names and notices
+below, not from the input, so equal texts always score alike. Scores are calibrated on folds that leave out whole licenses: what names
+a license that a model never saw counts as a miss of all it knows.
+
+Templates confirm. A predicted license counts only if the stretch holds nearly all word pairs of one of its notices, or one of its names
+where the words of a statement are, or nothing but such a name; a stretch that holds a notice, and no other license's as well, is that
+license whatever its score. What states a license but has none confirmed is `unknown` if it has a statement's words and speaks of a
+license, and nothing otherwise. Of stretches that cross lines only confirmed licenses count that no line among them states by itself;
+their lines are no longer unknown.
 
 A text without any cue can't state a license: cues are chosen such that all other n-grams together stay below one half. So the
 regular expression that looks for them first loses nothing.
 
-Rows: a null text is empty and states nothing; rows with equal or null doc_ids are scanned each for itself; an empty table gives
-no rows; other columns are ignored. Offsets count code points, ends are exclusive.
+Rows: a null text is empty and states nothing; a text of any length is scanned whole; rows with equal or null doc_ids are scanned each
+for itself; of licenses that tie each counts; an empty table gives no rows; other columns are ignored. Offsets count code points, ends
+are exclusive.
 """
 
 from __future__ import annotations
@@ -27,11 +33,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fjordlake.llm.common import documents
+from fjordlake.llm.secrets import _let, spans_of
 
 #: Words of a stretch, and words from one's start to the next's.
 STRETCH, STEP = 40, 20
-#: Share of a template's word pairs with which a stretch counts as that template.
+#: Share of a notice's word pairs with which a stretch holds that notice, and words from which on a sentence is one.
 ALIKE = 0.9
+NOTICE = 7
 UNKNOWN = "unknown"
 #: Argument of the logistic function for a stretch without any known n-gram.
 NOTHING = -6.0
@@ -85,6 +93,16 @@ PLAIN = (
     "de la le et les des en un du une que est pour qui dans a par plus pas au sur ne se ce il sont avec on ou son ses aux mais comme nous sous cette tout y el que los del las un por con no una su para es al lo como más pero sus le ya o este sí porque esta entre cuando muy sin sobre también me hasta hay donde quien desde todo nos durante bajo",
 )
 
+#: Fixed pattern of the words around a license's name in a statement, and of those that speak of a license; words between single blanks.
+STATES = " (?:licen[sc]ed (?:under|by|as)|(?:released|distributed|published|provided|offered|covered|governed) (?:under|by)|(?:use|used|using|redistribute) .{0,60}under|available under|under the terms|under an?|licen[sc]e|licen[sc]es|licen[sc]ing|spdx|lizenz|lizenziert|licencia|in the public domain|into the public domain|to the public domain|rights reserved|copyright) "
+#: The same without words that also stand elsewhere, for licenses that none of the names confirms.
+UNDER = "(?: (?:licen[sc]ed (?:under|by|as)|(?:released|distributed|published|provided|offered|covered|governed) (?:under|by)|available under|under the terms|under an?|spdx|lizenziert|sous licence|bajo una)|^ (?:licen[sc]e|lizenz|licencia)) "
+SPEAKS = " (?:licen[sc]e|licen[sc]es|licen[sc]ed|licen[sc]ing|lizenz|lizenziert|licencia|agreement|terms|spdx) "
+#: Fixed pattern of what may stand beside a name in a title.
+BESIDE = "(?: (?:the|mit|licen[sc]e|version|v|[0-9]+|january|june|november|december|international|only|or|later|clause|text)){0,6} "
+#: Fixed pattern of rights that are reserved, to the end of the sentence or by someone.
+RESERVED = r"(?i)all\s+rights\s+(?:are\s+)?reserved(?=[^a-z0-9]*$|\s*[.;:,!)\n]|\s+(?:by|except|worldwide)\b)"
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = "[a-z0-9]+"
 
@@ -113,6 +131,7 @@ def examples() -> list[tuple[str, frozenset[str], int]]:
     out = []
     for k, (names, notices) in LICENSES.items():
         out += [(f.format(n), frozenset([k]), i) for n in names for i, f in enumerate(FRAMES)]
+        out += [(f.format(n), frozenset([k]), i) for n in names if " " in n for i, f in enumerate(("{}", "{}.", "The {}", "{}, see below"))]
         out += [(form.format(n), frozenset([k]), i) for i, n in enumerate(notices) for form in ("{}", "{}.", "Note: {}.", "{} for any purpose.")]
     out += [(f.format(n), frozenset([UNKNOWN]), i) for n in OTHER_NAMES for i, f in enumerate(FRAMES)]
     named = [k for k, (names, _) in LICENSES.items() if names]
@@ -134,16 +153,36 @@ def examples() -> list[tuple[str, frozenset[str], int]]:
     return out
 
 
+#: Licenses whose names are also ordinary words and so no titles.
+COMMON_NAMES = ("public domain",)
+
+
 @dataclass
 class LicenseModel:
     licenses: list[str]
     weights: dict[str, list[float]]  # of each n-gram: for being a license at all, then for each license
     bias: list[float]
-    templates: list[tuple[int, list[str]]]  # number of the license, word pairs
+    templates: list[tuple[int, list[str]]]  # number of the license, word pairs of a notice
 
     def logits(self, words: list[str]) -> np.ndarray:
         return np.sum([self.bias, *(self.weights[g] for g in grams_of(words) if g in self.weights)], axis=0)
 
+    def names(self, k: int) -> str:
+        """Pattern of a license's names; that of the reserved rights is not one of words."""
+        return "|".join(sorted({" ".join(words_of(n)) for n in LICENSES[self.licenses[k]][0]}, key=lambda n: (-len(n), n)))
+
+    def named(self, text: str, line: str) -> list[bool]:
+        """For each license whether a stretch, its words between blanks, names it in a statement or as a title; line: where it is one, its text."""
+        out = []
+        for k, own in enumerate(self.licenses):
+            names = self.names(k)
+            if not names:
+                out.append(bool(re.search(RESERVED, line)) or (" all rights reserved " in text and " copyright " in text))
+            else:
+                title = re.search(f"^ (?:the )?(?:{names}){BESIDE}$", text) and (own not in COMMON_NAMES)
+                out.append(bool(title) or bool(re.search(f" (?:{names}) ", text) and re.search(STATES, text)))
+        return out
+
     def cues(self) -> list[str]:
         """Words and pairs such that all n-grams without any of them, together, do not make a license; begun with the heaviest.
 
@@ -255,7 +294,7 @@ def model() -> LicenseModel:
     used = {g: [round(float(v), 4) for v in weights[i]] for g, i in at.items() if np.abs(weights[i]).max() >= 5e-4}
     templates = []
     for j, (_, notices) in enumerate(LICENSES.values()):
-        templates += [(j, pairs) for n in notices if len(pairs := [g for g in grams_of(words_of(n)) if " " in g]) >= 2]
+        templates += [(j, pairs) for n in notices if len(words_of(n)) >= NOTICE and (pairs := [g for g in grams_of(words_of(n)) if " " in g])]
     return LicenseModel(licenses, used, [round(float(v), 4) for v in bias], templates)
 
 
@@ -264,11 +303,6 @@ def _literal(value, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(value)), kind)
 
 
-def _let(x: Column, f) -> Column:
-    """f of x, x being evaluated once."""
-    return F.element_at(F.transform(F.array(x), f), 1)
-
-
 def find_licenses(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep` of each row of docs, and licenses: license, start, end, score and alike of each license of each paragraph, in order.
 
@@ -289,47 +323,92 @@ def find_licenses(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataF
         hits = F.array_intersect(F.concat(words, pairs), vocabulary)
         return F.aggregate(hits, bias, lambda a, g: F.zip_with(a, F.element_at(weights, g), lambda x, y: x + y))
 
+    def named(text: Column, line: Column) -> Column:
+        """LicenseModel.named as an expression; names of a license are one pattern."""
+        states, out = text.rlike(STATES), []
+        for k, license in enumerate(own.licenses):
+            names = own.names(k)
+            if not names:
+                out.append(line.rlike(RESERVED) | (F.contains(text, F.lit(" all rights reserved ")) & F.contains(text, F.lit(" copyright "))))
+            else:
+                title = F.lit(False) if license in COMMON_NAMES else text.rlike(f"^ (?:the )?(?:{names}){BESIDE}$")
+                out.append(title | (text.rlike(f" (?:{names}) ") & states))
+        return F.array(*out)
+
     def of_stretch(s: Column) -> Column:
         """The licenses of a stretch that states any: number (-1 for unknown), score, alike."""
-        alike = F.transform(templates, lambda t: F.array_max(F.transform(t, lambda p: F.size(F.array_intersect(p, s["pairs"])) / F.size(p))))
-        each = F.zip_with(F.slice(s["z"], 2, len(own.licenses)), alike, lambda z, a: F.struct(z.alias("z"), F.coalesce(a, F.lit(0.0)).alias("alike")))
-        each = F.transform(each, lambda e, k: F.struct(k.alias("k"), (1.0 / (1.0 + F.exp(-e["z"]))).alias("score"), e["alike"].alias("alike")))
+        notices = F.transform(templates, lambda t: F.coalesce(F.array_max(F.transform(t, lambda p: F.size(F.array_intersect(p, s["pairs"])) / F.size(p))), F.lit(0.0)))
+        text = F.concat(F.lit(" "), F.array_join(s["words"], " "), F.lit(" "))
         gate = 1.0 / (1.0 + F.exp(-F.element_at(s["z"], 1)))
 
-        def chosen(e: Column) -> Column:
-            unknown = F.array(F.struct(F.lit(-1).alias("k"), gate.alias("score"), F.array_max(F.transform(e, lambda x: x["alike"])).alias("alike")))
-            known = F.filter(e, lambda x: (x["score"] >= 0.5) | (x["alike"] >= ALIKE))
-            return _let(known, lambda k: F.when(F.size(k) > 0, k).otherwise(unknown))
+        def chosen(x: Column) -> Column:
+            each = F.transform(F.slice(s["z"], 2, len(own.licenses)), lambda z, k: F.struct(k.alias("k"), (1.0 / (1.0 + F.exp(-z))).alias("score"), F.greatest(F.get(x["notices"], k), F.get(x["named"], k).cast("double")).alias("alike"), F.get(x["notices"], k).alias("notice")))
+            most = F.array_max(x["notices"])
+            known = F.filter(each, lambda e: ((e["notice"] >= ALIKE) & (e["notice"] == most)) | ((e["score"] >= 0.5) & (e["alike"] >= ALIKE)))
+            found = F.transform(known, lambda e: F.struct(*(e[c].alias(c) for c in ("k", "score", "alike"))))
+            unknown = F.array(F.struct(F.lit(-1).alias("k"), gate.alias("score"), F.array_max(F.transform(each, lambda e: e["alike"])).alias("alike")))
+            states = x["text"].rlike(UNDER) & x["text"].rlike(SPEAKS)
+            return _let(found, lambda f: F.when(F.size(f) > 0, f).when(states, unknown).otherwise(F.slice(unknown, 1, 0)))
 
-        return _let(each, chosen)
+        return _let(F.struct(notices.alias("notices"), named(text, s["line"]).alias("named"), text.alias("text")), chosen)
 
-    def of_paragraph(words: Column) -> Column:
-        """The licenses of each stretch that states any, one after another."""
+    def stretches_of(words: Column, line: Column) -> Column:
+        """All stretches of words that pass the first regression: words, pairs, line, z and the number of the first word."""
         starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (STRETCH - STEP), F.lit(1)), F.lit(STEP))
-        stretches = F.transform(F.transform(starts, lambda i: F.slice(words, i, STRETCH)), lambda w: F.struct(w.alias("words"), pairs_of(w).alias("pairs")))
-        scored = F.transform(stretches, lambda s: F.struct(s["pairs"].alias("pairs"), logits(s["words"], s["pairs"]).alias("z")))
-        return F.flatten(F.transform(F.filter(scored, lambda s: F.element_at(s["z"], 1) >= 0), of_stretch))
+        cut = F.transform(F.transform(starts, lambda i: F.struct(i.alias("i"), F.slice(words, i, STRETCH).alias("words"))), lambda w: F.struct(w["i"].alias("i"), w["words"].alias("words"), pairs_of(w["words"]).alias("pairs")))
+        scored = F.transform(cut, lambda s: F.struct(s["i"].alias("i"), s["words"].alias("words"), s["pairs"].alias("pairs"), line.alias("line"), logits(s["words"], s["pairs"]).alias("z")))
+        return F.filter(scored, lambda s: F.element_at(s["z"], 1) >= 0)
 
     def merged(found: Column) -> Column:
-        """Each license of a paragraph once, with its largest score; unknown only where no other is."""
+        """Each license of a line once, with its largest score; unknown only where no other is."""
         most = lambda k, c: F.array_max(F.transform(F.filter(found, lambda s: s["k"] == k), lambda s: s[c]))
-        named = lambda kinds: F.transform(F.array_sort(F.when(F.size(kinds) > 1, F.array_remove(kinds, -1)).otherwise(kinds)), lambda k: F.struct(F.when(k < 0, UNKNOWN).otherwise(F.get(names, k)).alias("license"), most(k, "score").alias("score"), most(k, "alike").alias("alike")))
+        named = lambda kinds: F.transform(F.array_sort(F.when(F.size(kinds) > 1, F.array_remove(kinds, -1)).otherwise(kinds)), lambda k: F.struct(k.alias("k"), most(k, "score").alias("score"), most(k, "alike").alias("alike")))
         return _let(F.array_distinct(F.transform(found, lambda s: s["k"])), named)
 
+    def across(lines: Column) -> Column:
+        """The licenses of stretches that cross lines of a paragraph, each once: from its first to its last line."""
+        words = F.flatten(F.transform(lines, lambda p: p["words"]))
+        place = F.flatten(F.transform(lines, lambda p: F.array_repeat(F.struct(p["start"].alias("start"), p["end"].alias("end")), F.size(p["words"]))))
+
+        def placed(x: Column) -> Column:
+            spans = F.transform(stretches_of(x["words"], F.lit("")), lambda s: F.struct(s.alias("s"), F.element_at(x["place"], s["i"]).alias("first"), F.element_at(x["place"], F.least(s["i"] + (STRETCH - 1), F.size(x["place"]))).alias("last")))
+            crossing = F.filter(spans, lambda t: t["first"]["start"] < t["last"]["start"])
+            return F.filter(F.flatten(F.transform(crossing, lambda t: F.transform(of_stretch(t["s"]), lambda f: F.struct(f["k"].alias("k"), t["first"]["start"].alias("start"), t["last"]["end"].alias("end"), f["score"].alias("score"), f["alike"].alias("alike"))))), lambda f: f["k"] >= 0)
+
+        def once(found: Column) -> Column:
+            of = lambda k, c, f: f(F.transform(F.filter(found, lambda s: s["k"] == k), lambda s: s[c]))
+            return F.transform(F.array_distinct(F.transform(found, lambda s: s["k"])), lambda k: F.struct(k.alias("k"), of(k, "start", F.array_min).alias("start"), of(k, "end", F.array_max).alias("end"), of(k, "score", F.array_max).alias("score"), of(k, "alike", F.array_max).alias("alike")))
+
+        return F.when(F.size(lines) > 1, _let(_let(F.struct(words.alias("words"), place.alias("place")), placed), once))
+
+    def of_paragraph(p: Column) -> Column:
+        """The licenses of a paragraph (start, text) by line, and across lines where no line has them."""
+        nothing = F.struct(p["start"].alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,line:string>>)").alias("out"))
+
+        def step(a: Column, line: Column) -> Column:
+            end = a["at"] + F.char_length(line)
+            return F.struct((end + 1).alias("at"), F.concat(a["out"], F.array(F.struct(a["at"].alias("start"), end.alias("end"), line.alias("line")))).alias("out"))
+
+        lines = F.aggregate(F.split(p["text"], "\n", -1), nothing, step, lambda a: a["out"])
+        worded = F.transform(lines, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["line"].alias("line"), F.regexp_extract_all(F.translate(x["line"], _UPPER, _LOWER), F.lit(_WORD), F.lit(0)).alias("words")))
+        by_line = lambda w: F.flatten(F.transform(F.filter(w, lambda x: x["line"].rlike(cue)), lambda x: F.transform(merged(F.flatten(F.transform(stretches_of(x["words"], x["line"]), of_stretch))), lambda f: F.struct(f["k"].alias("k"), x["start"].alias("start"), x["end"].alias("end"), f["score"].alias("score"), f["alike"].alias("alike")))))
+
+        def both(x: Column) -> Column:
+            inside = lambda f, s: (f["start"] >= s["start"]) & (f["end"] <= s["end"])
+            every = F.coalesce(x["wide"], F.slice(x["own"], 1, 0))
+            wide = F.filter(every, lambda s: ~F.exists(x["own"], lambda f: (f["k"] == s["k"]) & inside(f, s)))
+            single = F.filter(x["own"], lambda f: ~((f["k"] < 0) & F.exists(every, lambda s: inside(f, s))))
+            return _let(F.concat(single, wide), lambda w: F.array_sort(F.transform(w, lambda f: F.struct(f["start"].alias("start"), f["k"].alias("k"), *(f[c].alias(c) for c in ("end", "score", "alike"))))))
+
+        return _let(worded, lambda w: _let(F.struct(by_line(w).alias("own"), across(w).alias("wide")), both))
+
     kind = "array<struct<license:string,start:int,end:int,score:double,alike:double>>"
-    nothing = F.expr(f"cast(array() as {kind})")
-
-    def step(a: Column, line: Column) -> Column:
-        end = a["at"] + F.char_length(line)
-        own = F.array(F.struct(a["at"].alias("start"), end.alias("end"), line.alias("line")))
-        return F.struct((end + 1).alias("at"), F.when(line.rlike(cue), F.concat(a["out"], own)).otherwise(a["out"]).alias("out"))
-
-    lines = F.aggregate(F.split(text, "\n", -1), F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,line:string>>)").alias("out")), step, lambda a: a["out"])
-    worded = F.transform(lines, lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), F.regexp_extract_all(F.translate(p["line"], _UPPER, _LOWER), F.lit(_WORD), F.lit(0)).alias("words")))
-    scanned = F.transform(worded, lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), of_paragraph(p["words"]).alias("found")))
-    placed = lambda p: F.transform(merged(p["found"]), lambda s: F.struct(s["license"].alias("license"), p["start"].alias("start"), p["end"].alias("end"), s["score"].alias("score"), s["alike"].alias("alike")))
-    found = F.flatten(F.transform(scanned, placed)).cast(kind)
-    return docs.select(*keep, F.when(text.rlike(cue), found).otherwise(nothing).alias("licenses"))
+    blank = r"\n\s*\n"
+    ends = F.concat(F.array(F.lit(0)), F.transform(spans_of(text, blank, 0), lambda s: s["end"]))
+    paragraphs = F.zip_with(ends, F.split(text, blank, -1), lambda start, t: F.struct(start.alias("start"), t.alias("text")))
+    found = F.flatten(F.transform(F.filter(paragraphs, lambda p: p["text"].rlike(cue)), of_paragraph))
+    listed = F.transform(found, lambda f: F.struct(F.when(f["k"] < 0, UNKNOWN).otherwise(F.get(names, f["k"])).alias("license"), *(f[c].alias(c) for c in ("start", "end", "score", "alike")))).cast(kind)
+    return docs.select(*keep, F.when(text.rlike(cue), listed).otherwise(F.expr(f"cast(array() as {kind})")).alias("licenses"))
 
 
 def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
