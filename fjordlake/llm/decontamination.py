@@ -6,8 +6,9 @@ confirms them. Windows of different lengths (items shorter than the window) have
 
 Tables are flat arrays: a shift table is indexed by a block's hash (equal hashes keep the least jump, which only costs a look),
 and a bucket is a stretch of the sorted hashes of test strings' suffixes and of the whole strings. So a shard of the benchmark
-takes about eight times its own bytes, and its bound is set from that. One shard is the usual case and needs no shuffle; with
-more, documents are numbered in a written table, each shard is searched by itself and the findings are merged by row.
+takes about eight times its own bytes, and its bound is set from that. One shard is the usual case and is broadcast. More are built
+one after another, each a file that Spark brings to every executor; a task then takes its documents in groups and searches each
+group with one shard after another, so that documents are read once, never shuffled, and a worker holds one shard at a time.
 
 Rows: null, empty or wordless texts have no words and no hits; a text of any length is searched whole; a null item_id still marks
 words but is not listed; item rows that are repeated, or tie in a test string, count once an item; rows with equal or null doc_ids
@@ -18,22 +19,29 @@ whatever their names, are ignored by `find_contamination` and those of documents
 from __future__ import annotations
 
 import math
+import pickle
+import uuid
 import zlib
 from array import array
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fjordlake.llm.common import as_rows, documents, kept_and, small_batches, texts_of, written
+from fjordlake.llm.common import as_rows, documents, kept_and, new_folder, small_batches, texts_of
 
 WINDOW = 10
 BLOCK = 2
 #: Bytes of benchmark text in a shard. Driver and workers each hold its tables: 8 MB of random words take 230 MB while they are built, 70 MB after.
 SHARD_BYTES = 8_000_000
+#: Bytes of text that a worker searches with one shard before it loads the next.
+GROUP_BYTES = 32_000_000
 
 #: Bytes of a word stay, A-Z become a-z, all others become spaces.
 _WORD_BYTES = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -133,6 +141,10 @@ def _found(text: str, tables: list[WuManber]) -> tuple[int, list[int], list[int]
         for start, own in table.search(words):
             hits.append((start, start + table.length))
             items.update(own.tolist())
+    return len(words), *_disjoint(hits), sorted(items)
+
+
+def _disjoint(hits: Iterable[tuple[int, int]]) -> tuple[list[int], list[int]]:
     starts, ends = [], []
     for start, end in sorted(hits):
         if ends and start <= ends[-1]:
@@ -140,23 +152,64 @@ def _found(text: str, tables: list[WuManber]) -> tuple[int, list[int], list[int]
         else:
             starts.append(start)
             ends.append(end)
-    return len(words), starts, ends, sorted(items)
+    return starts, ends
+
 
+def _in_all(texts: list[str], shards: list[Callable[[], list[WuManber]]]) -> list[tuple[int, list[int], list[int], list[int]]]:
+    """Findings of each text by all shards, one of which is loaded at a time."""
+    found: list = []
+    for load in shards:
+        tables = load()
+        own = [_found(text, tables) for text in texts]
+        del tables
+        found = [(n, *_disjoint([*zip(a, b), *zip(c, d)]), sorted({*x, *y})) if x or a else (n, c, d, y) for (_, a, b, x), (n, c, d, y) in zip(found, own)] if found else own
+    return found
 
-def _search(docs: DataFrame, tables, keys: list[str]) -> DataFrame:
+
+def _search(docs: DataFrame, shards: list[Callable[[], list[WuManber]]], keys: list[str], group_bytes: int) -> DataFrame:
     """Findings of each row; docs has the columns `keys` and text."""
 
+    def of(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = iter(_in_all([t for b in batches for t in texts_of(b.column(len(keys)))], shards))
+        for batch in batches:
+            own = list(islice(found, batch.num_rows))
+            columns = [list(c) for c in zip(*own)] or [[]] * 4
+            kinds = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keys))), *(pa.array(x, k) for x, k in zip(columns, kinds))], [*keys, "n_words", "starts", "ends", "items"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
         for batch in small_batches(batches, len(keys)):
-            found = [_found(text, tables.value) for text in texts_of(batch.column(len(keys)))]
-            n, starts, ends, items = zip(*found) if found else ((), (), (), ())
-            own = [batch.column(i) for i in range(len(keys))]
-            kinds = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*own, *(pa.array(list(x), k) for x, k in zip((n, starts, ends, items), kinds))], [*keys, "n_words", "starts", "ends", "items"])
+            held.append(batch)
+            size += pc.sum(pc.binary_length(batch.column(len(keys)))).as_py() or 0
+            if len(shards) == 1 or size >= group_bytes:
+                yield from of(held)
+                held, size = [], 0
+        if held:
+            yield from of(held)
 
     return docs.select(*keys, "text").mapInArrow(run, kept_and(docs, keys, FOUND))
 
 
+def _file_of(spark: SparkSession, tables: list[WuManber], k: int) -> Callable[[], list[WuManber]]:
+    """Writes tables to the shared folder for Spark to bring to executors; loads them there."""
+    name = f"shard-{k}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{new_folder(spark, 'shard')}/{name}")
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+    data = memoryview(pickle.dumps(tables, pickle.HIGHEST_PROTOCOL))
+    for at in range(0, len(data), 1 << 24):
+        out.write(bytearray(data[at : at + (1 << 24)]))
+    out.close()
+    spark.sparkContext.addFile(path.toString())
+
+    def load() -> list[WuManber]:
+        with open(SparkFiles.get(name), "rb") as file:
+            return pickle.load(file)
+
+    return load
+
+
 def _covered(starts: Column, ends: Column) -> Column:
     """Words in any of the stretches, which may overlap."""
     spans = F.array_sort(F.arrays_zip(starts.alias("s"), ends.alias("e")))
@@ -169,27 +222,23 @@ def _covered(starts: Column, ends: Column) -> Column:
     )
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYTES, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYTES, keep: tuple[str, ...] = ("doc_id",), group_bytes: int = GROUP_BYTES) -> DataFrame:
     """The columns `keep` of each row of docs, n_words, n_hit, items (ids of items with an occurring window), starts and ends of hit stretches (words)."""
     spark = docs.sparkSession
     size = benchmark.agg(F.sum(F.octet_length("text")).alias("n")).collect()[0]["n"] or 0
     shards = max(1, math.ceil(size / shard_bytes))
     shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))
 
-    def tables(k: int):
+    def tables(k: int) -> list[WuManber]:
         rows = benchmark.filter(F.col("text").isNotNull() & (shard == k)).select(F.col("item_id").cast("long"), "text").distinct().collect()
-        return spark.sparkContext.broadcast(searchers([tuple(r) for r in rows], window))
+        return searchers([tuple(r) for r in rows], window)
 
     if shards == 1:
-        found = _search(docs, tables(0), list(keep))
+        shared = spark.sparkContext.broadcast(tables(0))
+        loads = [lambda: shared.value]
     else:
-        numbered = written(docs.select(*keep, "text").withColumn("row_no", F.monotonically_increasing_id()), "numbered")
-        each = [_search(numbered, tables(k), ["row_no"]) for k in range(shards)]
-        hits = each[0]
-        for more in each[1:]:
-            hits = hits.unionByName(more)
-        merged = hits.groupBy("row_no").agg(F.max("n_words").alias("n_words"), *(F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "ends", "items")))
-        found = numbered.select("row_no", *keep).join(merged, "row_no").drop("row_no").withColumn("items", F.array_sort(F.array_distinct("items")))
+        loads = [_file_of(spark, tables(k), k) for k in range(shards)]
+    found = _search(docs, loads, list(keep), group_bytes)
     return found.select(*keep, "n_words", _covered(F.col("starts"), F.col("ends")).alias("n_hit"), "items", "starts", "ends")
 
 

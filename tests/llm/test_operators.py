@@ -212,6 +212,19 @@ def test_decontamination(spark, shard_bytes):
     assert sorted(r["doc_id"] for r in decontamination.drop_contaminated(docs, bench).collect()) == [3, 4, 5, 7]
 
 
+def test_a_benchmark_of_many_shards_reads_documents_once(spark, sf_dir):
+    """Groups that end within and between batches; the plan holds one scan of the documents and no exchange."""
+    docs, bench = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "benchmark"))
+    as_rows = lambda found: sorted(tuple(r) for r in found.collect())
+    one = decontamination.find_contamination(docs, bench)
+    for group_bytes in (1, 20_000, 10**9):
+        many = decontamination.find_contamination(docs, bench, shard_bytes=1000, group_bytes=group_bytes)
+        plan = many._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Scan parquet") == 1 and "Exchange" not in plan
+        assert as_rows(many) == as_rows(one)
+    assert one.filter("n_hit > 0").count() > 0
+
+
 def test_search_equals_brute_force_on_few_words():
     """Few different words make equal blocks, equal test strings and overlapping occurrences common."""
     random = np.random.default_rng(5)
@@ -474,6 +487,14 @@ def test_misspellings_share_vectors():
     assert clean < 0.5 < near and exact > 0.5
 
 
+def test_fold_figures_of_separable_rows():
+    random = np.random.default_rng(1)
+    rows = [(" ".join(f"w{x}" for x in random.integers(0, 200, 30)) + (" horriblething" if i % 2 else ""), i % 2) for i in range(200)]
+    random.shuffle(rows)
+    f1, _, precision, recall = toxicity.fold_figures([(t, int(y)) for t, y in rows], 2)
+    assert f1 > 0.9 and precision > 0.9 and recall > 0.9
+
+
 ODD_ROWS = [(None, None, None, None, None, 1, "x"), (1, None, "en", "s", 0, 1, "x"), (2, "", "en", "s", 0, 1, "x"), (3, "alpha beta gamma delta epsilon zeta", "en", "s", 5, None, None), (3, "alpha beta gamma delta epsilon zeta", "en", "s", 5, None, None), (4, "word " * 30_000, "en", None, 5, 0, "y"), (5, "🙂 \x00 ///", None, "s", 5, 0, "y"), (None, "alpha beta gamma delta epsilon zeta", "en", "s", 5, 2, "z")]
 
 
