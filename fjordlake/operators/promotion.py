@@ -62,9 +62,9 @@ def promotion_limit(signals: DataFrame, n: int, order: tuple[str, ...] = ("sourc
 
 
 def skip_persisted_hashes(signals: DataFrame, store: DataFrame, order: tuple[str, ...] = ("source_observation_ids",)) -> tuple[DataFrame, DataFrame]:
-    """Signals that are new (the first of each hash), and rejects: known hashes, and later rows of a hash."""
+    """Signals that are new (the first of each hash, of equals in order that whose JSON text is least), and rejects: known hashes, and later rows of a hash."""
     known = store.select("signal_deterministic_hash").distinct().withColumn("is_known", F.lit(True))
-    nth = F.row_number().over(Window.partitionBy("signal_deterministic_hash").orderBy(*order))
+    nth = F.row_number().over(Window.partitionBy("signal_deterministic_hash").orderBy(*order, L.canonical_json(*signals.columns)))
     rows = signals.withColumn("nth", nth).join(known, "signal_deterministic_hash", "left")
     is_new = F.col("is_known").isNull() & (F.col("nth") == 1)
     return rows.filter(is_new).select(*signals.columns), rows.filter(~is_new).select(*signals.columns, F.lit("duplicate_hash_already_persisted").alias("reject_reason"))
@@ -73,7 +73,9 @@ def skip_persisted_hashes(signals: DataFrame, store: DataFrame, order: tuple[str
 def require_observations(signals: DataFrame, obs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Signals all of whose observations are known, and rejects that name the first three missing."""
     sources = signals.select("signal_deterministic_hash", F.posexplode(L.split_ids(F.col("source_observation_ids"))).alias("nth", "id"))
-    missing = sources.join(obs.select("id"), "id", "left_anti").groupBy("signal_deterministic_hash").agg(F.slice(F.transform(F.array_sort(F.collect_list(F.struct("nth", "id"))), lambda x: x["id"]), 1, 3).alias("missing"))
+    place = F.row_number().over(Window.partitionBy("signal_deterministic_hash").orderBy("nth", "id"))
+    first = sources.join(obs.select("id"), "id", "left_anti").withColumn("place", place).filter(F.col("place") <= 3)
+    missing = first.groupBy("signal_deterministic_hash").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "id"))), lambda x: x["id"]).alias("missing"))
     reason = F.concat(F.lit("missing_observations:"), L.joined(F.col("missing")))
     return signals.join(missing, "signal_deterministic_hash", "left_anti"), signals.join(missing, "signal_deterministic_hash").withColumn("reject_reason", reason).drop("missing")
 

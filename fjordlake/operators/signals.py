@@ -87,9 +87,19 @@ def period_pairs(obs: DataFrame) -> DataFrame:
     return paired.select("*", start.alias("value_start"), end.alias("value_end"), (end - start).alias("absolute_change"), F.when(start != 0, (end - start) / F.nullif(start, F.lit(0.0)) * 100).alias("percent_change"), status.alias("status"))
 
 
+def slice_guards() -> dict[str, Column]:
+    """Whether both sides of a pair (start, end) agree in their dimensions but for time and measure, their contents code and their unit; blank counts as null."""
+    text = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
+    return {
+        "same_slice": F.to_json(slice_dimensions(F.col("start.dimensions"))) == F.to_json(slice_dimensions(F.col("end.dimensions"))),
+        "same_contents": text("start.contents_code") == text("end.contents_code"),
+        "same_unit": text("start.unit") == text("end.unit"),
+    }
+
+
 def reject_reason(cfg: SignalConfig) -> Column:
     """The first rule, in a fixed order, that a pair breaks; null for a pair that is emitted."""
-    text = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
+    guards = slice_guards()
     no_lineage = F.coalesce(*(L.blank_to_null(F.col(f"{side}.{c}")) for side in ("start", "end") for c in LINEAGE)).isNull()
     unspecified = has_unspecified(F.col("start.labels")) | has_unspecified(F.col("end.labels"))
     total = is_total_like(F.col("start.dimensions"), F.col("start.labels")) | is_total_like(F.col("end.dimensions"), F.col("end.labels"))
@@ -97,9 +107,9 @@ def reject_reason(cfg: SignalConfig) -> Column:
     reason = (
         F.when(F.col("status") != "pair", F.col("status"))
         .when(~L.period_pair_valid(F.col("period_start"), F.col("period_end")), "invalid_period_pairing")
-        .when(F.to_json(slice_dimensions(F.col("start.dimensions"))) != F.to_json(slice_dimensions(F.col("end.dimensions"))), "slice_mismatch")
-        .when(text("start.contents_code") != text("end.contents_code"), "dimension_mismatch")
-        .when(text("start.unit") != text("end.unit"), "unit_mismatch")
+        .when(~guards["same_slice"], "slice_mismatch")
+        .when(~guards["same_contents"], "dimension_mismatch")
+        .when(~guards["same_unit"], "unit_mismatch")
         .when(no_lineage, "lineage_failure")
     )
     if cfg.exclude_totals:

@@ -156,14 +156,19 @@ def _(spark, sf_dir):
     return feed(spark, sf_dir).select("seq", merge.payload_hash(X.SCALARS, F.col("version")).alias("payload_hash"))
 
 
-@query("rich_merge_payloads")
+_LEAVES_LAST = ", ".join(f"last_value({c} IGNORE NULLS) OVER (PARTITION BY external_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS {c}" for c in ("title", "location", "company_name", "detail"))
+# a merge patch leaves out what is null, at every depth
+_COMPACT = lambda x: f"CAST(json_merge_patch(CAST('{{}}' AS JSON), {x}) AS VARCHAR)"
+
+
+@query("rich_merge_payloads", f"SELECT DISTINCT external_id, {_COMPACT("json_object('detail', json_object('company_name', company_name, 'detail', detail), 'location', location, 'title', title)")} AS raw_payload FROM (SELECT external_id, {_LEAVES_LAST} FROM ({X.EVENTS}) e) x")
 def _(spark, sf_dir):
     found = feed(spark, sf_dir)
     payload = F.to_json(F.struct("title", "location", F.struct("company_name", "detail").alias("detail")))
     return merge.merged_payloads(found.select("external_id", "seq", F.lit("merge").alias("action"), payload.alias("raw_payload")))
 
 
-@query("canonical_payload")
+@query("canonical_payload", f"SELECT seq, {_COMPACT("json_object('a', json_object('location', location), 'title', title)")} AS payload FROM ({X.EVENTS}) e")
 def _(spark, sf_dir):
     payload = F.to_json(F.struct("title", F.col("seq").alias("_etag"), F.struct("location", F.lit("x").alias("imported_at")).alias("a")))
     return feed(spark, sf_dir).select("seq", merge.canonical_json(payload).alias("payload"))

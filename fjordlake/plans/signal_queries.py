@@ -214,7 +214,7 @@ def _(spark, sf_dir):
     return pairs.select(dims["Region"].alias("region"), dims["UtdNivaa"].alias("education"), dims["Fagfelt"].alias("field"), "contents", parts["score"].alias("score"))
 
 
-@query("signals_ordered")
+@query("signals_ordered", _EMPLOYMENT)
 def _(spark, sf_dir):
     return shown(quality.signals_ordered(signals.employment_count_change(both(spark, sf_dir), CFG)))
 

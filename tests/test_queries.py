@@ -7,9 +7,9 @@ import os
 import duckdb
 import pytest
 
-from fjordlake.plans import cube_queries, payload_queries, posting_queries, signal_queries, store_queries
+from fjordlake.plans import cube_queries, payload_queries, posting_queries, rule_queries, signal_queries, store_queries
 
-MODULES = (signal_queries, posting_queries, payload_queries, cube_queries, store_queries)
+MODULES = (signal_queries, posting_queries, payload_queries, cube_queries, store_queries, rule_queries)
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in MODULES for k, v in m.ORACLES.items()}
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages")
