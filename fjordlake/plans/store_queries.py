@@ -181,3 +181,47 @@ def _(spark, sf_dir):
         "source_observation_ids", *(part(c).alias(c) for c in ("source_file", "source_file_b", "statistical_dataset_id", "dataset_version_id_b", "ingestion_batch_id", "signal_logic_version")),
         part("source_observation_signature_count").cast("int").alias("signatures"), F.array_join(F.from_json(part("source_dataset_ids"), "array<string>"), ",").alias("datasets"),
     )
+
+
+#: A supplier's lines and their quantity by month; months with a multiple of seven lines have no quantity.
+_MONTHLY = """SELECT CAST(l_suppkey AS STRING) AS supplier, CAST(year(l_shipdate) * 100 + month(l_shipdate) AS STRING) AS period, CAST(count(*) AS DOUBLE) AS n, CASE WHEN count(*) % 7 <> 0 THEN CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) END AS quantity FROM lineitem GROUP BY 1, 2"""
+
+
+def many_cubes(spark, sf_dir) -> DataFrame:
+    """A cube for each supplier, of its own months by two measures, so that cubes grow with the input."""
+    months = F.array_sort(F.collect_list(F.struct("period", "n", "quantity")))  # a row for each month
+    rows = X.view(spark, sf_dir, _MONTHLY).groupBy("supplier").agg(months.alias("months"))
+    codes = F.transform("months", lambda m: m["period"])
+    as_map = lambda a, f: F.map_from_entries(F.transform(a, lambda c, i: F.struct(c, f(c, i))))
+    dimension = lambda label, a, unit: F.struct(F.lit(label).alias("label"), F.struct(as_map(a, lambda c, i: i).alias("index"), as_map(a, lambda c, i: c).alias("label"), unit.alias("unit")).alias("category"))
+    measures = F.array(F.lit("Lines"), F.lit("Quantity"))
+    unit = as_map(measures, lambda c, i: F.struct(F.lit("pcs").alias("base"), F.lit(None).cast("string").alias("label")))
+    none = F.lit(None).cast("map<string,struct<base:string,label:string>>")
+    return rows.select(
+        F.col("supplier").alias("table_id"), F.concat("supplier", F.lit(".json")).alias("source_file"), F.lit("Lines by month").alias("label"), F.array(F.lit("ContentsCode"), F.lit("Tid")).alias("id"), F.array(F.lit(2), F.size("months")).alias("size"),
+        F.lit(None).cast("array<string>").alias("role_time"), F.lit(None).cast("array<string>").alias("role_metric"), F.create_map(F.lit("ContentsCode"), dimension("Measure", measures, unit), F.lit("Tid"), dimension("Month", codes, none)).alias("dimension"),
+        F.concat(F.transform("months", lambda m: m["n"]), F.transform("months", lambda m: m["quantity"])).alias("value"),
+    )
+
+
+_MANY = f"SELECT supplier AS table_id, period, 'Lines' AS contents_code, n AS value FROM ({_MONTHLY}) a UNION ALL SELECT supplier, period, 'Quantity', quantity FROM ({_MONTHLY}) b WHERE quantity IS NOT NULL"
+
+
+@query("cube_flatten_many", f"SELECT *, 'pcs' AS unit FROM ({_MANY}) m")
+def _(spark, sf_dir):
+    return cube.cube_flatten(many_cubes(spark, sf_dir)).select("table_id", "period", "contents_code", "value", "unit")
+
+
+@query("check_cartesian_many", f"SELECT supplier AS table_id, 2 * count(*) AS expected, 2 * count(*) AS found, true AS matches FROM ({_MONTHLY}) m GROUP BY supplier")
+def _(spark, sf_dir):
+    return cube.check_cartesian(many_cubes(spark, sf_dir)).select("table_id", "expected", "found", "matches")
+
+
+@query("skipped_nulls_many", f"SELECT supplier AS table_id, CAST(count(*) FILTER (WHERE quantity IS NULL) AS INT) AS skipped FROM ({_MONTHLY}) m GROUP BY supplier")
+def _(spark, sf_dir):
+    return cube.skipped_nulls(many_cubes(spark, sf_dir)).select("table_id", "skipped")
+
+
+@query("cube_profile_many", f"SELECT supplier AS table_id, 2 * count(*) AS rows, count(*) FILTER (WHERE quantity IS NULL) AS missing_values, 'ContentsCode,Tid' AS dimensions, concat('ContentsCode=2,Tid=', CAST(count(*) AS VARCHAR)) AS cardinality, true AS has_time, true AS fits_shared_model FROM ({_MONTHLY}) m GROUP BY supplier")
+def _(spark, sf_dir):
+    return cube.cube_profile(many_cubes(spark, sf_dir))
