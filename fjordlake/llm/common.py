@@ -42,6 +42,18 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+def file_for_tasks(spark: SparkSession, name: str, data: bytes | memoryview) -> str:
+    """Writes data to the shared folder and has Spark bring it to every executor; its name there, for SparkFiles.get."""
+    own = f"{name}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{new_folder(spark, name)}/{own}")
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+    for at in range(0, len(data), 1 << 24):
+        out.write(bytearray(data[at : at + (1 << 24)]))
+    out.close()
+    spark.sparkContext.addFile(path.toString())
+    return own
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the scratch folder: its lineage ends there, so a lost executor costs no recomputation."""
     path = new_folder(df.sparkSession, name)

@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import math
 import pickle
-import uuid
 import zlib
 from array import array
 from bisect import bisect_left
@@ -34,7 +33,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fjordlake.llm.common import as_rows, documents, kept_and, new_folder, small_batches, texts_of
+from fjordlake.llm.common import as_rows, documents, file_for_tasks, kept_and, small_batches, texts_of
 
 WINDOW = 10
 BLOCK = 2
@@ -194,14 +193,7 @@ def _search(docs: DataFrame, shards: list[Callable[[], list[WuManber]]], keys: l
 
 def _file_of(spark: SparkSession, tables: list[WuManber], k: int) -> Callable[[], list[WuManber]]:
     """Writes tables to the shared folder for Spark to bring to executors; loads them there."""
-    name = f"shard-{k}-{uuid.uuid4().hex}"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{new_folder(spark, 'shard')}/{name}")
-    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
-    data = memoryview(pickle.dumps(tables, pickle.HIGHEST_PROTOCOL))
-    for at in range(0, len(data), 1 << 24):
-        out.write(bytearray(data[at : at + (1 << 24)]))
-    out.close()
-    spark.sparkContext.addFile(path.toString())
+    name = file_for_tasks(spark, f"shard-{k}", pickle.dumps(tables, pickle.HIGHEST_PROTOCOL))
 
     def load() -> list[WuManber]:
         with open(SparkFiles.get(name), "rb") as file:

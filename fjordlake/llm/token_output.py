@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from fjordlake.llm import simple8b
 from fjordlake.llm.common import documents, new_folder, small_batches, texts_of
-from fjordlake.llm.tokens import BLOCK, encoder
+from fjordlake.llm.tokens import BLOCK, encoder, shared_pieces
 
 #: Ids at which a chunk is closed.
 CHUNK = 1 << 18
@@ -34,11 +34,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, drops_
 
     One shuffle deals documents out by ranges of doc_id and, within one, of a hash of the text, whose sample is all that the driver sees; each task then encodes its range and codes it chunk by chunk."""
 
+    shared = shared_pieces(docs, tokenizer, drops_space)
+
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, number, start = TaskContext.get().partitionId(), 0, 0
-        tokens = encoder(tokenizer, drops_space)
+        tokens = encoder(tokenizer, drops_space, shared=shared)
         end = np.array([end_id], tokens.type).tobytes()
         doc_ids: list = []
         ids: list[bytes] = []

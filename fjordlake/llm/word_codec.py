@@ -21,7 +21,6 @@ import json
 import math
 import os
 import re
-import uuid
 from collections.abc import Iterator
 from itertools import chain
 
@@ -34,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fjordlake.llm.common import blocks_by_size, documents, kept, kept_and, new_folder, small_batches, texts_of, written
+from fjordlake.llm.common import blocks_by_size, documents, file_for_tasks, kept, kept_and, small_batches, texts_of, written
 from fjordlake.llm.lexicon import Lexicon, compiled
 
 #: Words in the lexicon, and bytes of one, which bound what the driver compiles.
@@ -265,7 +264,6 @@ def frequent_words(counts: DataFrame, most: int = MOST_WORDS, most_bytes: int =
 
 def build_lexicon(words: DataFrame, tokenizer: str) -> str:
     """Compiles words (word), each merged where it lies, with their ids and gives Spark the file to bring to executors; its name there."""
-    spark = words.sparkSession
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rules = kept(("words", tokenizer), lambda: WordRules(tokenizer))
@@ -276,14 +274,7 @@ def build_lexicon(words: DataFrame, tokenizer: str) -> str:
     merged = words.select("word").distinct().mapInArrow(merge, "word binary, ids binary").collect()
     data = compiled(sorted((bytes(r["word"]), tuple(np.frombuffer(r["ids"], "<i4").tolist())) for r in merged))
     del merged
-    name = f"lexicon-{uuid.uuid4().hex}.bin"
-    path = f"{new_folder(spark, 'lexicon')}/{name}"
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    out = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(place, True)
-    out.write(bytearray(data.tobytes()))
-    out.close()
-    spark.sparkContext.addFile(path)
-    return name
+    return file_for_tasks(words.sparkSession, "lexicon", data.tobytes())
 
 
 def _codec(tokenizer: str, name: str | None) -> WordCodec:

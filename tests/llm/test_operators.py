@@ -149,6 +149,24 @@ def test_near_duplicates(spark, sf_dir, settings):
     assert got == brute_jaccard({r["doc_id"]: r["text"] for r in docs.collect()})
 
 
+def test_no_pair_near_the_threshold_is_lost(spark):
+    """Hundreds of pairs on both sides of 0.8, each within a twentieth of it."""
+    random = np.random.default_rng(11)
+    texts = {}
+    for k in range(120):
+        words = [f"w{x}" for x in random.integers(0, 5000, 150)]
+        for copy in range(4):
+            own = list(words)
+            for at in random.choice(15, int(random.integers(0, 5)), replace=False) * 10:  # each changed word changes five of its n-grams
+                own[at] = f"x{k}-{copy}-{at}"
+            texts[4 * k + copy] = " ".join(own)
+    sets = {i: {" ".join(w[j : j + 5]) for j in range(len(w) - 4)} for i, t in texts.items() if (w := t.split())}
+    near = [len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for k in range(120) for a in range(4 * k, 4 * k + 4) for b in range(a + 1, 4 * k + 4)]
+    assert sum(0.8 <= x < 0.85 for x in near) > 50 and sum(0.75 <= x < 0.8 for x in near) > 50
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in near_duplicates.near_duplicates(docs_of(spark, [texts[i] for i in sorted(texts)], 0)).collect()}
+    assert got == brute_jaccard(texts)
+
+
 def test_a_chain_of_loosely_similar_texts(spark):
     """Neighbours are alike by half or by nine tenths: the bands tie all of them, and only the latter are links."""
     words = [f"w{i}" for i in range(2000)]

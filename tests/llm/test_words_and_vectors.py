@@ -1,6 +1,7 @@
 """Spelling variants, the word codec and whitening against plain versions."""
 
 import hashlib
+import pickle
 import random
 import re
 import zlib
@@ -9,12 +10,13 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import SparkFiles
 from pyspark.sql import functions as F
 
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from fjordlake.llm import spelling, whitening, word_codec
+from fjordlake.llm import spelling, tokens, whitening, word_codec
 from fjordlake.llm.lexicon import Lexicon, compiled
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -245,3 +247,17 @@ def test_whitening_of_odd_rows(spark):
     got = whitening.whiten(table).toPandas()
     assert sorted(got.vec_id.fillna(-1)) == [-1, 1, 2, 2] and set(got.component) == {1} and np.allclose(got.explained, 1)
     assert whitening.whiten(table.filter("id = 1")).count() == 0
+
+
+@pytest.mark.parametrize("name,drops", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_shared_pieces_give_the_same_ids(spark, sf_dir, name, drops):
+    path = public_tokenizers.path(name)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = [r.text or "" for r in docs.select("text").collect()] + ["", "a  b", "\n", "x\ny z.", " lead", "w, w. w!", "<|endoftext|>"]
+    with open(SparkFiles.get(tokens.shared_pieces(docs, path, drops, 500)), "rb") as file:
+        shared = pickle.load(file)
+    assert 100 < len(shared) <= 500
+    plain, helped = tokens.PieceEncoder(path, drops), tokens.PieceEncoder(path, drops, 50, shared)
+    library = Tokenizer.from_file(path)
+    for _ in range(2):
+        assert helped.encode_all(texts) == plain.encode_all(texts) == [np.array(library.encode(t, add_special_tokens=False).ids, plain.type).tobytes() for t in texts]
