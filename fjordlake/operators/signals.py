@@ -78,6 +78,7 @@ def period_pairs(obs: DataFrame) -> DataFrame:
     keyed = obs.filter(F.col("period").isNotNull() & F.col("dimensions").isNotNull()).select(
         F.struct(*obs.columns).alias("row"), "table_id", F.coalesce("contents_code", F.lit("")).alias("contents"), F.to_json(slice_dimensions(F.col("dimensions"))).alias("slice"), "period"
     )
+    keyed = keyed.repartition("table_id", "contents", "slice")  # one exchange serves all three steps below
     each = keyed.groupBy("table_id", "contents", "slice", "period").agg(F.max_by("row", F.col("row.id")).alias("row"))
     newest = Window.partitionBy("table_id", "contents", "slice").orderBy(L.period_key(F.col("period")).desc())
     two = each.withColumn("nth", F.row_number().over(newest)).filter(F.col("nth") <= 2)

@@ -102,7 +102,7 @@ def _(spark, sf_dir):
     return signals.latest_two_periods(X.industry(spark, sf_dir), "12850")
 
 
-@query("balanced_period_scan", f"SELECT id, period, value FROM (SELECT *, row_number() OVER (PARTITION BY period ORDER BY id) AS nth FROM ({X.REGIONAL}) o WHERE period IN ('1999', '2000')) b WHERE nth <= 40")
+@query("balanced_period_scan", f"SELECT id, period, value FROM (SELECT *, row_number() OVER (PARTITION BY period ORDER BY id) AS nth FROM ({X.REGIONAL}) o WHERE period IN ('2000', '2001')) b WHERE nth <= 40")
 def _(spark, sf_dir):
     return signals.balanced_period_scan(X.regional(spark, sf_dir), "11615", 40).select("id", "period", "value")
 
@@ -146,10 +146,10 @@ def _(spark, sf_dir):
     return signals.change_filters(signals.period_pairs(X.regional(spark, sf_dir)), CFG).select(own("Region").alias("region"), own("UtdNivaa").alias("education"), own("Fagfelt").alias("field"), "contents", "reject_reason")
 
 
-@query("validation_violations", f"SELECT concat('unit_mismatch:', period_start, '|', period_end) AS message, region, education, field, contents_code AS contents FROM ({_REGIONAL_PAIRS}) p WHERE region = 'ASIA' AND NOT alone AND value_start <> 0 AND period_end = '2000'")
+@query("validation_violations", f"SELECT concat('unit_mismatch:', period_start, '|', period_end) AS message, region, education, field, contents_code AS contents FROM ({_REGIONAL_PAIRS}) p WHERE region = 'ASIA' AND NOT alone AND value_start <> 0 AND period_end = '2001'")
 def _(spark, sf_dir):
     """Units of one region are spoilt for the newest period."""
-    obs = X.regional(spark, sf_dir).withColumn("unit", F.when((F.col("dimensions")["Region"] == "ASIA") & (F.col("period") == "2000"), "other").otherwise(F.col("unit")))
+    obs = X.regional(spark, sf_dir).withColumn("unit", F.when((F.col("dimensions")["Region"] == "ASIA") & (F.col("period") == "2001"), "other").otherwise(F.col("unit")))
     found = signals.validation_violations(signals.change_filters(signals.period_pairs(obs), CFG))
     own = lambda c: F.get_json_object("slice", f"$.{c}")
     return found.select("message", own("Region").alias("region"), own("UtdNivaa").alias("education"), own("Fagfelt").alias("field"), "contents")
