@@ -352,11 +352,15 @@ def find_licenses(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataF
 
         return _let(F.struct(notices.alias("notices"), named(text, s["line"]).alias("named"), text.alias("text")), chosen)
 
-    def stretches_of(words: Column, line: Column) -> Column:
-        """All stretches of words that pass the first regression: words, pairs, line, z and the number of the first word."""
+    def stretches_of(words: Column, line: Column, some=None) -> Column:
+        """The stretches of words that pass the first regression: words, pairs, line, z and the number of the first word. some: from that number to whether a stretch is wanted.
+
+        Only those with a cue can pass, so that the others are never scored."""
         starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (STRETCH - STEP), F.lit(1)), F.lit(STEP))
-        cut = F.transform(F.transform(starts, lambda i: F.struct(i.alias("i"), F.slice(words, i, STRETCH).alias("words"))), lambda w: F.struct(w["i"].alias("i"), w["words"].alias("words"), pairs_of(w["words"]).alias("pairs")))
-        scored = F.transform(cut, lambda s: F.struct(s["i"].alias("i"), s["words"].alias("words"), s["pairs"].alias("pairs"), line.alias("line"), logits(s["words"], s["pairs"]).alias("z")))
+        cut = F.transform(F.filter(starts, some) if some else starts, lambda i: F.struct(i.alias("i"), F.slice(words, i, STRETCH).alias("words")))
+        cued = F.filter(cut, lambda w: F.array_join(w["words"], " ").rlike(cue))
+        paired = F.transform(cued, lambda w: F.struct(w["i"].alias("i"), w["words"].alias("words"), pairs_of(w["words"]).alias("pairs")))
+        scored = F.transform(paired, lambda s: F.struct(s["i"].alias("i"), s["words"].alias("words"), s["pairs"].alias("pairs"), line.alias("line"), logits(s["words"], s["pairs"]).alias("z")))
         return F.filter(scored, lambda s: F.element_at(s["z"], 1) >= 0)
 
     def merged(found: Column) -> Column:
@@ -368,18 +372,20 @@ def find_licenses(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataF
     def across(lines: Column) -> Column:
         """The licenses of stretches that cross lines of a paragraph, each once: from its first to its last line."""
         words = F.flatten(F.transform(lines, lambda p: p["words"]))
-        place = F.flatten(F.transform(lines, lambda p: F.array_repeat(F.struct(p["start"].alias("start"), p["end"].alias("end")), F.size(p["words"]))))
+        number = F.flatten(F.transform(lines, lambda p, i: F.array_repeat(i, F.size(p["words"]))))
 
         def placed(x: Column) -> Column:
-            spans = F.transform(stretches_of(x["words"], F.lit("")), lambda s: F.struct(s.alias("s"), F.element_at(x["place"], s["i"]).alias("first"), F.element_at(x["place"], F.least(s["i"] + (STRETCH - 1), F.size(x["place"]))).alias("last")))
-            crossing = F.filter(spans, lambda t: t["first"]["start"] < t["last"]["start"])
-            return F.filter(F.flatten(F.transform(crossing, lambda t: F.transform(of_stretch(t["s"]), lambda f: F.struct(f["k"].alias("k"), t["first"]["start"].alias("start"), t["last"]["end"].alias("end"), f["score"].alias("score"), f["alike"].alias("alike"))))), lambda f: f["k"] >= 0)
+            first = lambda i: F.element_at(x["number"], i)
+            last = lambda i: F.element_at(x["number"], F.least(i + (STRETCH - 1), F.size(x["number"])))
+            crossing = stretches_of(x["words"], F.lit(""), lambda i: F.coalesce(first(i) < last(i), F.lit(False)))
+            spot = lambda s, f: F.struct(f["k"].alias("k"), F.get(lines, first(s["i"]))["start"].alias("start"), F.get(lines, last(s["i"]))["end"].alias("end"), f["score"].alias("score"), f["alike"].alias("alike"))
+            return F.filter(F.flatten(F.transform(crossing, lambda s: F.transform(of_stretch(s), lambda f: spot(s, f)))), lambda f: f["k"] >= 0)
 
         def once(found: Column) -> Column:
             of = lambda k, c, f: f(F.transform(F.filter(found, lambda s: s["k"] == k), lambda s: s[c]))
             return F.transform(F.array_distinct(F.transform(found, lambda s: s["k"])), lambda k: F.struct(k.alias("k"), of(k, "start", F.array_min).alias("start"), of(k, "end", F.array_max).alias("end"), of(k, "score", F.array_max).alias("score"), of(k, "alike", F.array_max).alias("alike")))
 
-        return F.when(F.size(lines) > 1, _let(_let(F.struct(words.alias("words"), place.alias("place")), placed), once))
+        return F.when(F.size(lines) > 1, _let(_let(F.struct(words.alias("words"), number.alias("number")), placed), once))
 
     def of_paragraph(p: Column) -> Column:
         """The licenses of a paragraph (start, text) by line, and across lines where no line has them."""
