@@ -22,14 +22,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fjordlake.llm.common import documents, shuffle_partitions, small_batches, texts_of, written
-from fjordlake.llm.tokens import encoder, shared_pieces
+from fjordlake.llm.tokens import encoder
 
 WINDOW = 1024
 #: Lengths, the most frequent ones, from which combinations of three are formed; those of two use every length. This bounds the
 #: least-squares problem, not the data: other lengths are packed greedily.
 TRIPLE_LENGTHS = 96
 #: Pieces that a worker keeps twice over while it encodes.
-PIECES = 60_000
+PIECES = 150_000
 
 
 def combinations(histogram: np.ndarray, window: int, triple_lengths: int = TRIPLE_LENGTHS) -> list[tuple[int, ...]]:
@@ -114,13 +114,11 @@ def greedy(left: np.ndarray, window: int) -> list[tuple[tuple[int, ...], int]]:
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int, drops_space: bool) -> DataFrame:
     """part and row (which name a row for good), doc_id, n and ids of each document, its end id included; a written table."""
 
-    shared = shared_pieces(docs, tokenizer, drops_space)
-
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, row = TaskContext.get().partitionId(), 0
-        tokens = encoder(tokenizer, drops_space, PIECES, shared)
+        tokens = encoder(tokenizer, drops_space, PIECES)
         end = np.array([end_id], tokens.type).tobytes()
         for batch in small_batches(batches, 1, keeps=True):
             own = [x + end for x in tokens.encode_all(texts_of(batch.column(1)))]

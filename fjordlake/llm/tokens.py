@@ -1,36 +1,26 @@
 """Exact encoding with the tokenizers library, sped up by encoding each piece between spaces once.
 
-No merge of these vocabularies crosses a space followed by a non-space, so a text's ids are the ids of its pieces in order. The pieces
-that the corpus uses most are counted and encoded beforehand, and Spark brings them to every executor as a file; a worker keeps them,
-and of the others those that it has met last.
+No merge of these vocabularies crosses a space followed by a non-space, so a text's ids are the ids of its pieces in order.
 """
 
 from __future__ import annotations
 
 import os
-import pickle
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import SparkFiles
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from fjordlake.llm.common import blocks_by_size, file_for_tasks, kept, small_batches, texts_of
-from fjordlake.llm.word_codec import frequent_words
+from fjordlake.llm.common import blocks_by_size, kept
 
 #: White space, under any of the definitions in use, other than space and line feed.
 ODD_SPACE = re.compile(r"[^\S \n]")
 #: Marks that may follow a word and are pieces of their own.
 MARKS = ".,;:!?&%$#*|)"
 #: Pieces that a worker keeps twice over, about 200 bytes each, and characters that it encodes at a time.
-CACHE = 100_000
+CACHE = 350_000
 BLOCK = 8_000_000
-#: Pieces that are encoded beforehand.
-SHARED = 262_144
 
 
 class PieceEncoder:
@@ -39,7 +29,7 @@ class PieceEncoder:
     drops_space: the vocabulary ignores white space, so any space or line feed is a cut. Otherwise a piece stands for
     itself behind a space, or, if it begins with a line feed, for itself."""
 
-    def __init__(self, path: str, drops_space: bool, cache: int = CACHE, shared: dict[str, bytes] | None = None):
+    def __init__(self, path: str, drops_space: bool, cache: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -49,7 +39,6 @@ class PieceEncoder:
         self.width = 2 if n <= 1 << 16 else 4
         self.type = np.dtype("<u2" if self.width == 2 else "<u4")
         self.most = cache
-        self.shared = shared or {}
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # the last full cache; what is used of it again moves on
         self.marks: dict[str, bytes] = {}
@@ -89,7 +78,7 @@ class PieceEncoder:
             if not word.isalpha() or (lead == "\n" and len(self.line_feed) != 1):
                 others.append(p)
                 continue
-            known = self.shared.get(stem) or self.cache.get(stem) or self.older.get(stem)
+            known = self.cache.get(stem) or self.older.get(stem)
             if known is not None:
                 found[stem] = known
             else:
@@ -119,47 +108,36 @@ class PieceEncoder:
             return False
         return not ODD_SPACE.search(text)
 
-    def _ready(self, texts: list[str]) -> tuple[list[int], list[str]]:
-        """Which texts are encoded piece by piece, and they themselves with a single space between pieces."""
-        if self.drops_space:
-            return list(range(len(texts))), [t.replace("\n", " ") for t in texts]
-        at = [i for i, t in enumerate(texts) if self._simple(t)]
-        return at, [("\n" + texts[i]).replace("\n", " \n") for i in at]
-
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts; a block's distinct pieces are looked up once and their ids gathered in place."""
         out = [b""] * len(texts)
         for part in blocks_by_size([len(t) for t in texts], BLOCK):
-            own = texts[part]
-            at, ready = self._ready(own)
+            at, ready = [], []
+            for i in range(part.start, part.stop):
+                if self.drops_space:
+                    at.append(i)
+                    ready.append(texts[i].replace("\n", " "))
+                elif self._simple(texts[i]):
+                    at.append(i)
+                    ready.append(("\n" + texts[i]).replace("\n", " \n"))
+                else:
+                    out[i] = self.encode_each([texts[i]])[0]
             for i, ids in zip(at, self._gather(ready) if ready else ()):
-                out[part.start + i] = ids
-            for i in sorted({*range(len(own))} - {*at}):
-                out[part.start + i] = self.encode_each([own[i]])[0]
+                out[i] = ids
         return out
 
-    def pieces_of(self, texts: list[str]) -> pa.DictionaryArray:
-        """The pieces of those texts that are encoded piece by piece."""
-        return pc.dictionary_encode(pc.split_pattern(pa.array(self._ready(texts)[1], pa.string()), " ").flatten())
-
-    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        found = self._learn([p for p in pieces if p or self.drops_space])
-        return [found[p] if p or self.drops_space else b"" for p in pieces]
-
     def _gather(self, ready: list[str]) -> list[bytes]:
         lists = pc.split_pattern(pa.array(ready, pa.string()), " ")
         words = pc.dictionary_encode(lists.flatten())
         pieces = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         if not self.drops_space:
             self.cache[""] = b""  # what precedes the first piece
-        ids = list(map(self.shared.get, pieces))
+        ids = list(map(self.cache.get, pieces))
         if missing := [p for p, x in zip(pieces, ids) if x is None]:
-            found = {p: x for p in missing if (x := self.cache.get(p)) is not None}
-            again = {p: x for p in missing if p not in found and (x := self.older.get(p)) is not None}
-            new = self._learn([p for p in missing if p not in found and p not in again])
-            found |= again | new
+            found = {p: x for p in missing if (x := self.older.get(p)) is not None}
+            found |= self._learn([p for p in missing if p not in found])
             ids = [found[p] if x is None else x for p, x in zip(pieces, ids)]
-            self._keep(again | new)
+            self._keep(found)
         # every piece's ids one behind the other; offsets of 64 bits, since one text may be of any length
         taken = pa.array(ids, pa.large_binary()).take(words.indices)
         ends = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1, 8 * taken.offset)
@@ -169,36 +147,6 @@ class PieceEncoder:
         return [bytes(flat[a + skip : b]) for a, b in zip(cuts, cuts[1:])]
 
 
-def encoder(path: str, drops_space: bool, cache: int = CACHE, shared: str | None = None) -> PieceEncoder:
-    """One for each Python worker, kept while its tasks encode. shared: name of a file of `shared_pieces`."""
-
-    def make() -> PieceEncoder:
-        own = None
-        if shared:
-            with open(SparkFiles.get(shared), "rb") as file:
-                own = pickle.load(file)
-        return PieceEncoder(path, drops_space, cache, own)
-
-    return kept((path, drops_space, cache, shared), make)
-
-
-def shared_pieces(docs: DataFrame, path: str, drops_space: bool, most: int = SHARED) -> str:
-    """Counts the pieces of all texts of docs (text), encodes the most frequent, `most` at most, where they lie, and gives Spark their file; its name."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path, drops_space, 0)
-        for batch in small_batches(batches, 0, BLOCK, keeps=True):
-            pieces = own.pieces_of(texts_of(batch.column(0)))
-            n = np.bincount(pieces.indices.to_numpy(zero_copy_only=False), minlength=len(pieces.dictionary))
-            yield pa.RecordBatch.from_arrays([pieces.dictionary, pa.array(n, pa.int64())], ["word", "n"])
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path, drops_space, 0)
-        for batch in batches:
-            ids = own.encode_pieces(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["word", "ids"])
-
-    counts = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = frequent_words(counts, most).mapInArrow(encode, "word string, ids binary").toArrow()
-    data = pickle.dumps(dict(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist())), pickle.HIGHEST_PROTOCOL)
-    return file_for_tasks(docs.sparkSession, "pieces", data)
+def encoder(path: str, drops_space: bool, cache: int = CACHE) -> PieceEncoder:
+    """One for each Python worker, kept while its tasks encode."""
+    return kept((path, drops_space, cache), lambda: PieceEncoder(path, drops_space, cache))
