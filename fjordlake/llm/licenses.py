@@ -200,7 +200,17 @@ class LicenseModel:
         return out
 
     def cue_pattern(self) -> str:
-        return "(?i)(?<![a-z0-9])(?:" + "|".join(c.replace(" ", "[^a-z0-9]+") for c in self.cues()) + ")(?![a-z0-9])"
+        return "(?i)(?<![a-z0-9])" + _any_of(self.cues()).replace(" ", "[^a-z0-9]+") + "(?![a-z0-9])"
+
+
+def _any_of(words: list[str]) -> str:
+    """A pattern of any of the words (letters, digits and blanks) that tells them apart character by character, so that a place is tried once for each first character."""
+    rest: dict[str, list[str]] = {}
+    for w in sorted(set(words)):
+        rest.setdefault(w[:1], []).append(w[1:])
+    ends = rest.pop("", None) is not None
+    each = [c + (_any_of(own) if own != [""] else "") for c, own in rest.items()]
+    return each[0] if len(each) == 1 and not ends else f"(?:{'|'.join(each)}){'?' if ends else ''}" if each else ""
 
 
 class _Presence:
@@ -319,9 +329,14 @@ def find_licenses(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataF
         n = F.greatest(F.size(words) - 1, F.lit(0))
         return F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat_ws(" ", a, b))
 
-    def logits(words: Column, pairs: Column) -> Column:
-        hits = F.array_intersect(F.concat(words, pairs), vocabulary)
-        return F.aggregate(hits, bias, lambda a, g: F.zip_with(a, F.element_at(weights, g), lambda x, y: x + y))
+    def known_grams(words: Column) -> Column:
+        """The model's n-grams among words and their pairs, with their weights: looked up once for all stretches of a paragraph."""
+        hits = F.array_intersect(F.concat(words, pairs_of(words)), vocabulary)
+        return F.transform(hits, lambda g: F.struct(g.alias("gram"), F.element_at(weights, g).alias("weights")))
+
+    def logits(words: Column, pairs: Column, known: Column) -> Column:
+        own = F.concat(words, pairs)
+        return F.aggregate(F.filter(known, lambda h: F.array_contains(own, h["gram"])), bias, lambda a, h: F.zip_with(a, h["weights"], lambda x, y: x + y))
 
     def named(text: Column, line: Column) -> Column:
         """LicenseModel.named as an expression; names of a license are one pattern."""
@@ -352,7 +367,7 @@ def find_licenses(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataF
 
         return _let(F.struct(notices.alias("notices"), named(text, s["line"]).alias("named"), text.alias("text")), chosen)
 
-    def stretches_of(words: Column, line: Column, some=None) -> Column:
+    def stretches_of(words: Column, line: Column, known: Column, some=None) -> Column:
         """The stretches of words that pass the first regression: words, pairs, line, z and the number of the first word. some: from that number to whether a stretch is wanted.
 
         Only those with a cue can pass, so that the others are never scored."""
@@ -360,7 +375,7 @@ def find_licenses(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataF
         cut = F.transform(F.filter(starts, some) if some else starts, lambda i: F.struct(i.alias("i"), F.slice(words, i, STRETCH).alias("words")))
         cued = F.filter(cut, lambda w: F.array_join(w["words"], " ").rlike(cue))
         paired = F.transform(cued, lambda w: F.struct(w["i"].alias("i"), w["words"].alias("words"), pairs_of(w["words"]).alias("pairs")))
-        scored = F.transform(paired, lambda s: F.struct(s["i"].alias("i"), s["words"].alias("words"), s["pairs"].alias("pairs"), line.alias("line"), logits(s["words"], s["pairs"]).alias("z")))
+        scored = F.transform(paired, lambda s: F.struct(s["i"].alias("i"), s["words"].alias("words"), s["pairs"].alias("pairs"), line.alias("line"), logits(s["words"], s["pairs"], known).alias("z")))
         return F.filter(scored, lambda s: F.element_at(s["z"], 1) >= 0)
 
     def merged(found: Column) -> Column:
@@ -369,7 +384,7 @@ def find_licenses(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataF
         named = lambda kinds: F.transform(F.array_sort(F.when(F.size(kinds) > 1, F.array_remove(kinds, -1)).otherwise(kinds)), lambda k: F.struct(k.alias("k"), most(k, "score").alias("score"), most(k, "alike").alias("alike")))
         return _let(F.array_distinct(F.transform(found, lambda s: s["k"])), named)
 
-    def across(lines: Column) -> Column:
+    def across(lines: Column, known: Column) -> Column:
         """The licenses of stretches that cross lines of a paragraph, each once: from its first to its last line."""
         words = F.flatten(F.transform(lines, lambda p: p["words"]))
         number = F.flatten(F.transform(lines, lambda p, i: F.array_repeat(i, F.size(p["words"]))))
@@ -377,7 +392,7 @@ def find_licenses(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataF
         def placed(x: Column) -> Column:
             first = lambda i: F.element_at(x["number"], i)
             last = lambda i: F.element_at(x["number"], F.least(i + (STRETCH - 1), F.size(x["number"])))
-            crossing = stretches_of(x["words"], F.lit(""), lambda i: F.coalesce(first(i) < last(i), F.lit(False)))
+            crossing = stretches_of(x["words"], F.lit(""), known, lambda i: F.coalesce(first(i) < last(i), F.lit(False)))
             spot = lambda s, f: F.struct(f["k"].alias("k"), F.get(lines, first(s["i"]))["start"].alias("start"), F.get(lines, last(s["i"]))["end"].alias("end"), f["score"].alias("score"), f["alike"].alias("alike"))
             return F.filter(F.flatten(F.transform(crossing, lambda s: F.transform(of_stretch(s), lambda f: spot(s, f)))), lambda f: f["k"] >= 0)
 
@@ -397,7 +412,7 @@ def find_licenses(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataF
 
         lines = F.aggregate(F.split(p["text"], "\n", -1), nothing, step, lambda a: a["out"])
         worded = F.transform(lines, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["line"].alias("line"), F.regexp_extract_all(F.translate(x["line"], _UPPER, _LOWER), F.lit(_WORD), F.lit(0)).alias("words")))
-        by_line = lambda w: F.flatten(F.transform(F.filter(w, lambda x: x["line"].rlike(cue)), lambda x: F.transform(merged(F.flatten(F.transform(stretches_of(x["words"], x["line"]), of_stretch))), lambda f: F.struct(f["k"].alias("k"), x["start"].alias("start"), x["end"].alias("end"), f["score"].alias("score"), f["alike"].alias("alike")))))
+        by_line = lambda w, known: F.flatten(F.transform(F.filter(w, lambda x: x["line"].rlike(cue)), lambda x: F.transform(merged(F.flatten(F.transform(stretches_of(x["words"], x["line"], known), of_stretch))), lambda f: F.struct(f["k"].alias("k"), x["start"].alias("start"), x["end"].alias("end"), f["score"].alias("score"), f["alike"].alias("alike")))))
 
         def both(x: Column) -> Column:
             inside = lambda f, s: (f["start"] >= s["start"]) & (f["end"] <= s["end"])
@@ -406,7 +421,8 @@ def find_licenses(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataF
             single = F.filter(x["own"], lambda f: ~((f["k"] < 0) & F.exists(every, lambda s: inside(f, s))))
             return _let(F.concat(single, wide), lambda w: F.array_sort(F.transform(w, lambda f: F.struct(f["start"].alias("start"), f["k"].alias("k"), *(f[c].alias(c) for c in ("end", "score", "alike"))))))
 
-        return _let(worded, lambda w: _let(F.struct(by_line(w).alias("own"), across(w).alias("wide")), both))
+        every = lambda w: known_grams(F.flatten(F.transform(w, lambda x: x["words"])))
+        return _let(worded, lambda w: _let(every(w), lambda known: _let(F.struct(by_line(w, known).alias("own"), across(w, known).alias("wide")), both)))
 
     kind = "array<struct<license:string,start:int,end:int,score:double,alike:double>>"
     blank = r"\n\s*\n"
