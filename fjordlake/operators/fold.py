@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fjordlake.functions import columns as L
-from fjordlake.operators.merge import ABSENT, compact_json, richer, stable
+from fjordlake.operators.merge import _ABSENT, _richer, _stable, compact_json
 
 TEXTS = ("title", "company_name", "location", "url", "status")
 TIMES = ("published_at", "expires_at", "date_modified", "event_modified_at")
@@ -50,7 +50,7 @@ def read_payload(text: str | None) -> dict:
 
 def hash_of(posting: dict) -> str:
     """MD5 of a posting's scalars (times as UTC text) and its payload without volatile keys, as JSON with sorted keys."""
-    return hashlib.md5(compact_json({c: posting[c] for c in SCALARS} | {"raw_payload": stable(read_payload(posting["raw_payload"]))}).encode()).hexdigest()
+    return hashlib.md5(compact_json({c: posting[c] for c in SCALARS} | {"raw_payload": _stable(read_payload(posting["raw_payload"]))}).encode()).hexdigest()
 
 
 def apply_event(stored: dict | None, event: dict, stamps: dict | None = None) -> tuple[str, dict]:
@@ -63,8 +63,8 @@ def apply_event(stored: dict | None, event: dict, stamps: dict | None = None) ->
     if own < known:
         return "stale_ignored", stored
     new = stored | {c: stored[c] if event[c] is None else event[c] for c in SCALARS}
-    before = read_payload(stored["raw_payload"]) if stored["raw_payload"] else ABSENT
-    new["raw_payload"] = compact_json(richer(before, read_payload(event["raw_payload"])))
+    before = read_payload(stored["raw_payload"]) if stored["raw_payload"] else _ABSENT
+    new["raw_payload"] = compact_json(_richer(before, read_payload(event["raw_payload"])))
     new["payload_hash"] = hash_of(new)
     if new["payload_hash"] == stored["payload_hash"]:
         return "no_op", stored

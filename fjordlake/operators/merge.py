@@ -118,11 +118,11 @@ def upsert(state: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
 VOLATILE = ("imported_at", "mirror_observed_at", "last_polled_at", "nav_inactive_event", "nav_lifecycle_events", "careerjet_lifecycle_events", "_run_id", "_etag", "_ingested_at", "downstream_counters")
 
 
-def stable(value):
+def _stable(value):
     """A JSON value without volatile keys."""
     if isinstance(value, dict):
-        return {k: stable(v) for k, v in value.items() if k not in VOLATILE}
-    return [stable(v) for v in value] if isinstance(value, list) else value
+        return {k: _stable(v) for k, v in value.items() if k not in VOLATILE}
+    return [_stable(v) for v in value] if isinstance(value, list) else value
 
 
 def compact_json(value) -> str:
@@ -130,17 +130,17 @@ def compact_json(value) -> str:
 
 
 #: A key that an object does not have, in contrast to one that is null.
-ABSENT = object()
+_ABSENT = object()
 
 
-def richer(stored, incoming):
+def _richer(stored, incoming):
     """Union of both objects; what comes in wins unless it is empty. A null for a key that is not stored leaves an empty object."""
-    if incoming is ABSENT or incoming is None:
-        return {} if stored is ABSENT or stored is None else stored
-    if stored is ABSENT or stored is None:
+    if incoming is _ABSENT or incoming is None:
+        return {} if stored is _ABSENT or stored is None else stored
+    if stored is _ABSENT or stored is None:
         return incoming
     if isinstance(stored, dict) and isinstance(incoming, dict):
-        return {k: richer(stored.get(k, ABSENT), incoming.get(k, ABSENT)) for k in stored.keys() | incoming.keys()}
+        return {k: _richer(stored.get(k, _ABSENT), incoming.get(k, _ABSENT)) for k in stored.keys() | incoming.keys()}
     return stored if incoming in ("", [], {}) and not isinstance(incoming, (bool, int, float)) else incoming
 
 
@@ -151,7 +151,7 @@ def canonical_json(payload: Column) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         def one(text):
             try:
-                return compact_json(stable(json.loads(text)))
+                return compact_json(_stable(json.loads(text)))
             except (TypeError, ValueError):
                 return None
 
@@ -167,10 +167,10 @@ def rich_merge_json(payloads: Column) -> Column:
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         def one(texts):
-            out = ABSENT
+            out = _ABSENT
             for text in texts if texts is not None else ():
-                out = richer(out, json.loads(text) if text else None)
-            return None if out is ABSENT else compact_json(out)
+                out = _richer(out, json.loads(text) if text else None)
+            return None if out is _ABSENT else compact_json(out)
 
         for batch in batches:
             yield batch.map(one)
@@ -186,16 +186,16 @@ def merged_payloads(actions: DataFrame) -> DataFrame:
     schema = T.StructType([kept.schema["external_id"], T.StructField("raw_payload", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, out, begun = None, ABSENT, False
+        key, out, begun = None, _ABSENT, False
         text = lambda: compact_json(out)
         for batch in batches:
             done = []
             for own, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if begun and own != key:
                     done.append((key, text()))
-                    out = ABSENT
+                    out = _ABSENT
                 key, begun = own, True
-                out = richer(out, json.loads(payload) if payload else None)
+                out = _richer(out, json.loads(payload) if payload else None)
             if done:
                 yield _records(done, batch.schema.types[0])
             last_type = batch.schema.types[0]
