@@ -271,9 +271,8 @@ def build_lexicon(words: DataFrame, tokenizer: str) -> str:
             own = batch.column(0).to_pylist()
             yield pa.RecordBatch.from_pydict({"word": [w.encode("utf-8") for w in own], "ids": pa.array([np.array(rules.merged(w), "<i4").tobytes() for w in own], pa.binary())}, schema=pa.schema([("word", pa.binary()), ("ids", pa.binary())]))
 
-    merged = words.select("word").distinct().mapInArrow(merge, "word binary, ids binary").collect()
-    data = compiled(sorted((bytes(r["word"]), tuple(np.frombuffer(r["ids"], "<i4").tolist())) for r in merged))
-    del merged
+    merged = words.select("word").distinct().mapInArrow(merge, "word binary, ids binary").toArrow()
+    data = compiled(sorted((w, tuple(np.frombuffer(ids, "<i4").tolist())) for w, ids in zip(merged.column(0).to_pylist(), merged.column(1).to_pylist())))
     return file_for_tasks(words.sparkSession, "lexicon", data.tobytes())
 
 
@@ -281,8 +280,8 @@ def _codec(tokenizer: str, name: str | None) -> WordCodec:
     return kept(("codec", tokenizer, name), lambda: WordCodec(tokenizer, Lexicon.mapped(SparkFiles.get(name)) if name else None))
 
 
-def encode(docs: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("doc_id",), most_words: int = MOST_WORDS) -> DataFrame:
-    """The columns `keep` of docs and ids of their texts, an array."""
+def encode(docs: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("doc_id",), most_words: int = MOST_WORDS, and_decode: bool = False) -> DataFrame:
+    """The columns `keep` of docs and ids of their texts, an array; and_decode: also `decoded`, what `decode` makes of the ids, by the same workers."""
     name = build_lexicon(frequent_words(word_counts(docs, tokenizer), most_words), tokenizer)
     n = len(keep)
 
@@ -292,9 +291,10 @@ def encode(docs: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("doc_id",),
             counts, ids = codec.encode_all(texts_of(batch.column(n)))
             ends = np.concatenate(([0], np.cumsum(counts)))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n], lists], [*keep, "ids"])
+            more = [codec.rules.decoded(lists)] if and_decode else []
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], lists, *more], [*keep, "ids", *(["decoded"] if and_decode else [])])
 
-    return docs.select(*keep, "text").mapInArrow(run, kept_and(docs, keep, "ids array<int>"))
+    return docs.select(*keep, "text").mapInArrow(run, kept_and(docs, keep, "ids array<int>, decoded string" if and_decode else "ids array<int>"))
 
 
 def slices(batch: pa.RecordBatch, column: int, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
@@ -321,5 +321,5 @@ def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    both = decode(encode(documents(spark, sf_dir), path), path)
+    both = encode(documents(spark, sf_dir), path, and_decode=True)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

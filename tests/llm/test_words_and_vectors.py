@@ -176,6 +176,12 @@ def test_codec_query(spark, sf_dir):
     assert len(got) == len(docs)
 
 
+def test_decoding_with_or_behind_encoding_is_the_same(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40)
+    rows = lambda found: sorted((r.doc_id, r.ids, r.decoded) for r in found.collect())
+    assert rows(word_codec.encode(docs, WORDS, and_decode=True)) == rows(word_codec.decode(word_codec.encode(docs, WORDS), WORDS))
+
+
 def test_lexicon_holds_the_most_frequent_words(spark):
     counts = spark.createDataFrame([(f"w{k}", 2 ** (k % 7)) for k in range(70)] + [("x" * 99, 500)], "word string, n long")
     of = lambda most: {r.word for r in word_codec.frequent_words(counts, most).collect()}
