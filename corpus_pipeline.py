@@ -1,7 +1,9 @@
 """A cleaning pipeline of five stages over documents: language, near duplicates, benchmark passages, secrets, packing.
 
-Each stage reads what its predecessor has written. Rows whose text is null have no letter and go in the first stage; repeated
-rows are told apart by doc_id in the second; an empty table stays empty.
+Each stage reads what its predecessor has written. Rows whose text is null have no letter and go in the first stage; texts of any
+length go through whole; repeated rows are told apart by doc_id in the second, where of rows that tie for a group that with the least
+hash of its text stays, and of equal ones any; further columns, whatever their names, are kept until packing, which returns pieces; an
+empty table stays empty.
 """
 
 from __future__ import annotations

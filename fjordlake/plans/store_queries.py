@@ -33,7 +33,10 @@ def query(name: str, oracle: str | None = None):
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder that the session names; it goes when the application ends."""
-    path = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/fjordlake-{name}-{uuid.uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    path = f"{shared.rstrip('/')}/fjordlake-{name}-{uuid.uuid4().hex}"
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
     return path
