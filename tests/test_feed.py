@@ -251,3 +251,20 @@ def test_a_batch_that_runs_again_replaces_itself(spark, tmp_path):
         merge_stream.merge_batch(rows.filter("place >= 3"), 1, state, "https://f")
     assert {k: v[0] for k, v in shown(spark, state).items()} == {"k0": "T3", "k1": "T4", "k2": "T2"}
     assert spark.read.parquet(f"{state}/postings/batch=1").count() == 2 and spark.read.parquet(f"{state}/audit/batch=1").count() == 2
+
+
+def test_a_hot_posting_is_folded_batch_by_batch(spark):
+    """Twenty thousand events of one posting over many Arrow batches, among others of one event each."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    try:
+        n = 20_000
+        hot = spark.range(n).select(F.lit("hot").alias("external_id"), F.col("id").alias("seq"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).alias("date_modified"), F.to_json(F.struct((F.col("id") % 7).alias("k"), F.when(F.col("id") == 3, "kept").alias("once"))).alias("raw_payload"))
+        cold = spark.range(300).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("external_id"), (F.col("id") + n).alias("seq"), F.lit(None).cast("timestamp").alias("date_modified"), F.lit("{}").alias("raw_payload"))
+        rows = hot.unionByName(cold).withColumns({"title": F.lit("T"), "status": F.lit("ACTIVE"), "source_event_id": F.concat(F.lit("e"), F.col("seq").cast("string"))})
+        acted = fold.fold_events(rows)
+        assert {r["action"]: r["n"] for r in acted.groupBy("action").agg(F.count("*").alias("n")).collect()} == {"insert": 301, "merge": n - 1}
+        last = fold.state_after(acted)
+        one = last.filter("external_id = 'hot'").collect()
+        assert last.count() == 301 and len(one) == 1 and json.loads(one[0]["raw_payload"]) == {"k": (n - 1) % 7, "once": "kept"} and one[0]["source_event_id"] == f"e{n - 1}"
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
