@@ -31,8 +31,9 @@ SHORTEST, LONGEST = 3, 8
 MOST_FREQUENT = 50_000
 #: A gram in fewer words is never extended.
 LEAST_FREQUENT = 16
-#: Rows of one index list that meet in one task; longer lists are split.
-LIST_BLOCK = 4096
+#: Rows of one index list that meet in one task; longer lists are split. Split lists are no more than so many, which bounds what is broadcast:
+#: of more, blocks grow.
+LIST_BLOCK, MOST_SPLIT = 4096, 100_000
 BEGIN, END = "\x02", "\x03"
 
 RUN = "[A-Za-zÀ-ÿ]+"
@@ -151,6 +152,7 @@ def near_words(words: DataFrame, min_length: int = 1, shortest: int = SHORTEST,
     longer = rarest.withColumn("longer", F.col("length"))
     both = longer.unionByName(rarest.withColumn("longer", F.col("length") + 1))
     # lists beyond a block: one side is dealt out to blocks by word, the other goes to all of them
+    list_block = max(list_block, math.ceil(2 * rarest.count() / MOST_SPLIT))
     sizes = both.groupBy("token", "longer").agg(F.count("*").alias("size")).filter(F.col("size") > list_block)
     split = sizes.select("token", "longer", F.ceil(F.col("size") / list_block).cast("int").alias("blocks"))
     one = longer.join(F.broadcast(split), ["token", "longer"], "left").withColumn("block", F.when(F.col("blocks").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("word"), "blocks")).cast("int"))
