@@ -15,6 +15,7 @@ no rows; other columns, whatever their names, are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -34,6 +35,10 @@ LEAST_FREQUENT = 16
 #: Rows of one index list that meet in one task; longer lists are split. Split lists are no more than so many, which bounds what is broadcast:
 #: of more, blocks grow.
 LIST_BLOCK, MOST_SPLIT = 4096, 100_000
+#: Index rows carry a longer word by its SHA-256 until its rarest grams are known, since a word has a row for each gram.
+LONG_WORD = 256
+#: Index rows that a task hands on at a time.
+ROWS_AT_ONCE = 200_000
 BEGIN, END = "\x02", "\x03"
 
 RUN = "[A-Za-zÀ-ÿ]+"
@@ -110,17 +115,20 @@ def frequent_grams(words: DataFrame, min_length: int, shortest: int = SHORTEST,
     return {r["gram"] for r in often.select("gram").collect()}
 
 
-_INDEX = "word string, length int, bound int, low long, high long, token long, place int"
+_INDEX = "key string, length int, bound int, low long, high long, token long, place int"
 
 
 def _decomposed(words: DataFrame, frequent: set[str], min_length: int, shortest: int, longest: int) -> DataFrame:
-    """A row for each gram of each word: 64-bit token of gram and repetition, the word's bound, and all its tokens as 128 bits."""
+    """A row for each gram and place of each word: the gram's 64-bit token, the word's bound, and as 128 bits its grams, repetitions told apart."""
     import xxhash
 
+    names = ["key", "length", "bound", "low", "high", "token", "place"]
+    kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
     shared = words.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams(shared.value, min_length, shortest, longest)
+        batch_of = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 7, kinds)], names)
         for batch in batches:
             rows: list[tuple] = []
             for word in batch.column(0).to_pylist():
@@ -129,14 +137,17 @@ def _decomposed(words: DataFrame, frequent: set[str], min_length: int, shortest:
                 tokens, bits = [], [0, 0]
                 for gram, place in found:
                     nth[gram] += 1
-                    token = xxhash.xxh64_intdigest(f"{gram}\x01{nth[gram]}")
-                    bits[token >> 6 & 1] |= 1 << (token & 63)
+                    own = xxhash.xxh64_intdigest(f"{gram}\x01{nth[gram]}")
+                    bits[own >> 6 & 1] |= 1 << (own & 63)
+                    token = own if nth[gram] == 1 else xxhash.xxh64_intdigest(f"{gram}\x011")
                     tokens.append((token - (1 << 63), place))
                 low, high = (b - (1 << 64) if b >> 63 else b for b in bits)
-                rows += [(word, len(word), bound, low, high, token, place) for token, place in tokens]
-            columns = list(zip(*rows)) or [()] * 7
-            kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["word", "length", "bound", "low", "high", "token", "place"])
+                key = word if len(word) <= LONG_WORD else hashlib.sha256(word.encode()).hexdigest()
+                rows += [(key, len(word), bound, low, high, token, place) for token, place in tokens]
+                if len(rows) >= ROWS_AT_ONCE:
+                    yield batch_of(rows)
+                    rows = []
+            yield batch_of(rows)
 
     return words.select("word").mapInArrow(run, _INDEX)
 
@@ -145,9 +156,12 @@ def near_words(words: DataFrame, min_length: int = 1, shortest: int = SHORTEST,
     """word and other, both ways, of all pairs of words (word) of at least min_length characters that one edit parts; a written table."""
     grams = written(_decomposed(words, frequent_grams(words, min_length, shortest, longest, most), min_length, shortest, longest), "grams")
     lists = grams.groupBy("token").agg(F.count("*").alias("listed"))
-    # the rarest grams of a word, one more than an edit can change: of two near words' rarest grams at least one is common
-    nth = F.row_number().over(Window.partitionBy("word").orderBy("listed", "token"))
-    rarest = written(grams.join(lists, "token").withColumn("nth", nth).filter(F.col("nth") <= F.col("bound") + 1).drop("nth", "listed"), "rarest")
+    # the rarest grams of a word, one more than an edit can change: of two near words' rarest grams at least one is common. The first that
+    # the edit leaves as it is, in this order, comes after none but changed ones in either word
+    nth = F.row_number().over(Window.partitionBy("key", "length").orderBy("listed", "token", "place"))
+    first = written(grams.join(lists, "token").withColumn("nth", nth).filter(F.col("nth") <= F.col("bound") + 1).drop("nth", "listed"), "rarest")
+    long_words = words.filter(F.length("word") > LONG_WORD).select(F.sha2("word", 256).alias("key"), "word")
+    rarest = first.filter(F.col("length") <= LONG_WORD).withColumnRenamed("key", "word").unionByName(first.filter(F.col("length") > LONG_WORD).join(long_words, "key").drop("key"))
     # a list is told apart by the longer word's length: a word meets its own length and, as the shorter one, the next
     longer = rarest.withColumn("longer", F.col("length"))
     both = longer.unionByName(rarest.withColumn("longer", F.col("length") + 1))

@@ -92,6 +92,20 @@ def test_spelling_index_loses_no_pair(spark, monkeypatch, settings):
     assert as_dict(spelling.spelling_variants(table, min_length=3, **settings)) == plain_variants(counts)
 
 
+def test_repetitive_and_very_long_words_are_found(spark):
+    random.seed(4)
+    found, long = set(), ["b" * 1_000, "b" * 1_001]
+    for period in ("a", "ha", "abc", "abca"):
+        for n in range(12, 44, 4):
+            word = (period * n)[:n]
+            for at in random.sample(range(n), 6):
+                found |= {word, word[:at] + "x" + word[at:], word[:at] + word[at + 1 :], word[:at] + "c" + word[at + 1 :]}
+    counts = {w: 5 for w in found}
+    table = spark.createDataFrame([(w,) for w in [*counts, *long]], "word string")
+    near = spelling.near_words(table, 6).groupBy("word").agg(F.count("*").alias("n"))
+    assert {r.word: r.n for r in near.collect()} == {w: x[3] for w, x in plain_variants(counts).items() if x[3]} | dict.fromkeys(long, 1)
+
+
 def test_affected_grams_bound_holds():
     """Of every word and each of its edits, all but `bound` grams are common."""
     words = list(some_words(150, 5))
