@@ -29,14 +29,15 @@ def pick_cell(cells: Column, candidates: tuple[str, ...]) -> Column:
 def source_rows(sheets: DataFrame, layer: str, prefix: str, workbook: str) -> DataFrame:
     """Registry rows of sheet rows (sheet, row_no, cells): slug, name, url, kind, owner, licence notes, refresh, metadata (JSON) and their order.
 
-    A row without a name is named by its sheet and row; cells of equal headers but for case or blanks at the ends fail the job."""
+    A slug ends in all 16 digits of the row's digest: of a million rows some share a name and the first eight. Rows of equal cells and sheet share
+    a slug. A row without a name is named by its sheet and row; cells of equal headers but for case or blanks at the ends fail the job."""
     cells = F.col("cells")
     name = pick_cell(cells, NAME_KEYS)
     digest = F.substring(F.sha2(L.canonical_json(F.lit(layer).alias("layer"), L.sorted_map(cells).alias("row"), F.col("sheet").alias("sheet")), 256), 1, 16)
     unnamed = F.format_string("Unnamed source (%s row %d)", "sheet", "row_no")
     metadata = L.canonical_json(F.lit(workbook).alias("source_map_workbook"), F.col("sheet").alias("sheet"), F.col("row_no").alias("sheet_row"), F.lit(layer).alias("intelligence_layer"), cells.alias("raw_row"))
     return sheets.select(
-        source_slug(name, prefix, F.col("sheet"), digest).alias("slug"), F.coalesce(name, unnamed).alias("name"), pick_cell(cells, URL_KEYS).alias("url"), F.coalesce(pick_cell(cells, KIND_KEYS), F.lit("file")).alias("kind"),
+        source_slug(name, prefix, F.col("sheet"), digest, 16).alias("slug"), F.coalesce(name, unnamed).alias("name"), pick_cell(cells, URL_KEYS).alias("url"), F.coalesce(pick_cell(cells, KIND_KEYS), F.lit("file")).alias("kind"),
         pick_cell(cells, OWNER_KEYS).alias("owner_team"), pick_cell(cells, LICENSE_KEYS).alias("license_notes"), pick_cell(cells, REFRESH_KEYS).alias("default_refresh"), metadata.alias("metadata"), F.struct("sheet", "row_no").alias("row_no"),
     )
 
@@ -55,9 +56,9 @@ def content_hash(df: DataFrame, layer: Column, sheet: Column) -> Column:
     return F.substring(F.sha2(L.canonical_json(layer.alias("layer"), row.alias("row"), sheet.alias("sheet")), 256), 1, 16)
 
 
-def source_slug(name: Column, prefix: str, sheet: Column, digest: Column) -> Column:
+def source_slug(name: Column, prefix: str, sheet: Column, digest: Column, digits: int = 8) -> Column:
     base = L.unicode_slug(F.concat(F.lit(f"{prefix}-"), name))
-    return F.when(L.blank_to_null(name).isNotNull(), F.concat_ws("-", base, F.substring(digest, 1, 8))).otherwise(F.concat_ws("-", F.lit(prefix), F.substring(sheet, 1, 40), digest))
+    return F.when(L.blank_to_null(name).isNotNull(), F.concat_ws("-", base, F.substring(digest, 1, digits))).otherwise(F.concat_ws("-", F.lit(prefix), F.substring(sheet, 1, 40), digest))
 
 
 def drop_blank_rows(df: DataFrame) -> DataFrame:
