@@ -138,6 +138,12 @@ def half_even(c: Column, digits: int) -> Column:
     return F.bround(c, digits)
 
 
+def half_even_scaled(c: Column, digits: int) -> Column:
+    """half_even of a double that isn't negative, where a tie is one of the scaled double: what misses it by rounding alone is a tie, too."""
+    nearest = lambda x: F.floor(x * 10.0**digits + 0.5) / 10.0**digits
+    return F.when((c * 10.0 ** (digits + 1)) % 10 == 5, nearest(c / 2) * 2).otherwise(nearest(c))
+
+
 def seconds_between(later: Column, earlier: Column) -> Column:
     return F.unix_timestamp(later) - F.unix_timestamp(earlier)
 

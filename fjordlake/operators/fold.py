@@ -41,6 +41,7 @@ def payload_version(date_modified: Column, event_modified_at: Column, payload: C
 
 
 def read_payload(text: str | None) -> dict:
+    """The object that a payload's text holds; whoever gets it must not change it."""
     try:
         found = json.loads(text) if text else {}
     except ValueError:
