@@ -37,48 +37,82 @@ PAYLOAD_TIMES = ("$._feed_entry.sistEndret", "$.nav_detail.sistEndret", "$.nav_d
 
 def payload_version(date_modified: Column, event_modified_at: Column, payload: Column) -> Column:
     """The newest of a posting's times, those in its payload included."""
-    return L.newest(date_modified, event_modified_at, *(L.safe_timestamp(F.get_json_object(payload, p)) for p in PAYLOAD_TIMES))
+    # text without a path's last key, escaped or not, need not be read for it
+    held = lambda path: F.when(payload.contains(path.rpartition(".")[2]) | payload.contains("\\"), payload)
+    return L.newest(date_modified, event_modified_at, *(L.safe_timestamp(F.get_json_object(held(p), p)) for p in PAYLOAD_TIMES))
+
+
+_READ = json.JSONDecoder().decode
 
 
 def read_payload(text: str | None) -> dict:
     """The object that a payload's text holds; whoever gets it must not change it."""
     try:
-        found = json.loads(text) if text else {}
+        found = _READ(text) if text else {}
     except ValueError:
         return {}
     return found if isinstance(found, dict) else {}
 
 
+def _payload_of(posting: dict):
+    """What a posting's payload holds, read once; no payload is _ABSENT."""
+    if "payload" not in posting:
+        if not posting["raw_payload"]:
+            return _ABSENT
+        posting["payload"] = read_payload(posting["raw_payload"])
+    return posting["payload"]
+
+
+def _text_of(posting: dict) -> str | None:
+    """A posting's payload as text; a merged one is written when it is asked for."""
+    if posting["raw_payload"] is None and "payload" in posting:
+        posting["raw_payload"] = compact_json(posting["payload"])
+    return posting["raw_payload"]
+
+
 def hash_of(posting: dict) -> str:
     """MD5 of a posting's scalars (times as UTC text) and its payload without volatile keys, as JSON with sorted keys."""
-    return hashlib.md5(compact_json({c: posting[c] for c in SCALARS} | {"raw_payload": _stable(read_payload(posting["raw_payload"]))}).encode()).hexdigest()
+    payload = _payload_of(posting)
+    return hashlib.md5(compact_json({c: posting[c] for c in SCALARS} | {"raw_payload": {} if payload is _ABSENT else _stable(payload)}).encode()).hexdigest()
 
 
-def apply_event(stored: dict | None, event: dict, stamps: dict | None = None) -> tuple[str, dict]:
-    """The action of one event and the posting after it. Versions are microseconds; stamps are what a reconcile run leaves on rows it writes."""
+def _hash_of(posting: dict) -> str:
+    """A posting's hash, made when it is asked for."""
+    if posting["payload_hash"] is None:
+        posting["payload_hash"] = hash_of(posting)
+    return posting["payload_hash"]
+
+
+def _step(stored: dict | None, event: dict, stamps: dict | None = None) -> tuple[str, dict]:
+    """As apply_event; the new posting's payload may be without its text and its hash not yet made."""
     if stored is None:
-        new = {c: event[c] for c in SCALARS} | {"raw_payload": event["raw_payload"] or "{}", "source_event_version": event["version"], "source_event_id": event["source_event_id"]} | (stamps or dict.fromkeys(STAMPS))
-        return "insert", new | {"payload_hash": hash_of(new)}
+        return "insert", {c: event[c] for c in SCALARS} | {"raw_payload": event["raw_payload"] or "{}", "source_event_version": event["version"], "payload_hash": None, "source_event_id": event["source_event_id"]} | (stamps or dict.fromkeys(STAMPS))
     lowest = float("-inf")
     known, own = (lowest if v is None else v for v in (stored["source_event_version"], event["version"]))
     if own < known:
         return "stale_ignored", stored
-    new = stored | {c: stored[c] if event[c] is None else event[c] for c in SCALARS}
-    before = read_payload(stored["raw_payload"]) if stored["raw_payload"] else _ABSENT
-    new["raw_payload"] = compact_json(_richer(before, read_payload(event["raw_payload"])))
-    new["payload_hash"] = hash_of(new)
-    if new["payload_hash"] == stored["payload_hash"]:
+    changed = {c: v for c in SCALARS if (v := event[c]) is not None and v != stored[c]}
+    new = stored | changed | {"raw_payload": None, "payload": _richer(_payload_of(stored), read_payload(event["raw_payload"])), "payload_hash": None}
+    # other scalars are another hash; it need not be made to see that. A stored row's hash may be another's, so it is compared
+    if (not changed or "stored_hash" in stored) and _hash_of(new) == _hash_of(stored):
         return "no_op", stored
+    new.pop("stored_hash", None)
     newer, older = (event, stored) if own > known else (stored, event)
     new["source_event_id"] = newer["source_event_id"] if newer["source_event_id"] is not None else older["source_event_id"]
     new["source_event_version"] = max(own, known) if max(own, known) != lowest else None
     return "merge", new | (stamps or {})
 
 
+def apply_event(stored: dict | None, event: dict, stamps: dict | None = None) -> tuple[str, dict]:
+    """The action of one event and the posting after it. Versions are microseconds; stamps are what a reconcile run leaves on rows it writes."""
+    action, posting = _step(stored, event, stamps)
+    return action, posting if posting is stored else {c: _VALUES.get(c, lambda p: p[c])(posting) for c in POSTING}  # noqa: B023
+
+
 def stored_posting(row: dict) -> dict:
     """A posting as it was stored, its version and hash made up from the row where they lack."""
     own = {c: row[c] for c in POSTING if c != "source_event_version"} | {"source_event_version": row["version"]}
-    return own if own["payload_hash"] is not None else own | {"payload_hash": hash_of(own)}
+    return own if own["payload_hash"] is None else own | {"stored_hash": True}
 
 
 _INPUT = ("external_id", "seq", "stored", "version", *SCALARS, "raw_payload", "payload_hash", "source_event_id", *STAMPS)
@@ -111,38 +145,63 @@ def as_input(rows: DataFrame, stored: bool, seq: str) -> DataFrame:
     return rows.select(*(own.get(c, text(c) if c not in own else None).alias(c) for c in _INPUT)).filter(F.coalesce("external_id", F.lit("")) != "")
 
 
+def has_detail(posting: dict) -> bool:
+    if "payload" not in posting and DETAIL_KEY not in (posting["raw_payload"] or ""):
+        return False
+    payload = _payload_of(posting)
+    return payload is not _ABSENT and DETAIL_KEY in payload
+
+
+#: Values of a posting that are made when they are asked for.
+_VALUES = {"raw_payload": _text_of, "payload_hash": _hash_of, "has_detail": has_detail}
+
+
 def acted_row(key: str, seq, action: str, before: dict | None, after: dict, is_last: bool) -> dict:
-    has_detail = lambda p: DETAIL_KEY in (p["raw_payload"] or "") and DETAIL_KEY in read_payload(p["raw_payload"])
     was = {f"previous_{c}": has_detail(before) if c == "has_detail" else before[c] for c in AUDITED} if action == "merge" else dict.fromkeys(_BEFORE)
-    return {"external_id": key, "seq": seq, "action": action, "is_last": is_last, "has_detail": has_detail(after)} | after | was
+    return {"external_id": key, "seq": seq, "action": action, "is_last": is_last, "has_detail": has_detail(after)} | {c: after[c] for c in POSTING} | was
+
+
+def _rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """A batch's rows, taken out of it by column."""
+    values = [c.to_pylist() if c.null_count and not pa.types.is_string(c.type) else c.to_numpy(zero_copy_only=False).tolist() for c in batch.columns]
+    return (dict(zip(batch.schema.names, row)) for row in zip(*values))
 
 
-def _fold(seq: str, stamps: dict | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _fold(seq: str, stamps: dict | None, columns: tuple[str, ...] = _OUTPUT, only_last: bool = False, at_last: tuple[str, ...] = ()) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    place = {c: n for n, c in enumerate(("external_id", "seq", "action", "is_last"))}
+
+    def values(c: str, rows: list[tuple]) -> list:
+        if c in place:
+            return [r[place[c]] for r in rows]
+        name = c.removeprefix("previous_")
+        made = _VALUES.get(name)
+        if c in at_last:
+            return [(made(r[5]) if made else r[5][c]) if r[3] else None for r in rows]
+        if c == name:
+            return [made(r[5]) for r in rows] if made else [r[5][c] for r in rows]
+        return [(made(r[4]) if made else r[4][name]) if r[2] == "merge" else None for r in rows]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, posting, waiting, done, kinds = None, None, None, [], {}
+        key, posting, waiting, kinds = None, None, None, {"long": pa.int64(), "boolean": pa.bool_(), "string": pa.string()}
 
-        def batch_of(rows: list[dict]) -> pa.RecordBatch:
-            kind = lambda c: {"long": pa.int64(), "boolean": pa.bool_(), "string": pa.string()}.get(_kind(c, seq), kinds.get("seq"))
-            return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kinds["seq"] if c == "seq" else kind(c)) for c in _OUTPUT], list(_OUTPUT))
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(values(c, rows), kinds["seq"] if c == "seq" else kinds[_kind(c, seq)]) for c in columns], list(columns))
 
         for batch in batches:
             kinds["seq"] = batch.schema.field("seq").type
-            for row in batch.to_pylist():
-                if waiting is not None:
-                    waiting["is_last"] = row["external_id"] != key
-                    done.append(waiting)
-                if row["external_id"] != key:
+            done = []
+            for row in _rows_of(batch):
+                other = row["external_id"] != key
+                if waiting is not None and (other or not only_last):
+                    done.append((*waiting[:3], other, *waiting[3:]))
+                if other:
                     key, posting = row["external_id"], None
-                if row["stored"]:
-                    action, before, posting = "stored", None, stored_posting(row)
-                else:
-                    before = posting
-                    action, posting = apply_event(posting, row, stamps)
-                waiting = acted_row(key, row["seq"], action, before, posting, False)
+                before = posting
+                action, posting = ("stored", stored_posting(row)) if row["stored"] else _step(posting, row, stamps)
+                waiting = key, row["seq"], action, before, posting
             yield batch_of(done)
-            done = []
         if waiting is not None:
-            yield batch_of([waiting | {"is_last": True}])
+            yield batch_of([(*waiting[:3], True, *waiting[3:])])
 
     return run
 
@@ -153,11 +212,12 @@ def typed(acted: DataFrame) -> DataFrame:
     return acted.select(*(F.timestamp_micros(c).alias(c) if c.endswith("source_event_version") else F.col(c).cast(kind(c)).alias(c) if kind(c) else F.col(c) for c in acted.columns))
 
 
-def fold_events(events: DataFrame, state: DataFrame | None = None, run: tuple[str, Column] | None = None) -> DataFrame:
+def fold_events(events: DataFrame, state: DataFrame | None = None, run: tuple[str, Column] | None = None, columns: tuple[str, ...] = _OUTPUT, only_last: bool = False, at_last: tuple[str, ...] = ()) -> DataFrame:
     """A row for each event, and for each stored posting, with its action and the posting after it; `is_last` marks a posting's last row.
 
     events: external_id, seq, SCALARS, raw_payload, source_event_id. state: a former `state_after`. run: id and time of a reconcile
-    run, which stamps what it inserts or merges as present."""
+    run, which stamps what it inserts or merges as present. columns: what the caller reads of a row; Spark can't drop the others itself.
+    only_last: each posting's last row alone, where nothing else is read. at_last: columns that only a posting's last row needs; null elsewhere."""
     seq = dict(events.dtypes)["seq"]
     rows = as_input(events, False, seq)
     if state is not None:
@@ -166,7 +226,7 @@ def fold_events(events: DataFrame, state: DataFrame | None = None, run: tuple[st
     if run is not None:
         stamps = {"last_reconciled_run_id": run[0], "last_reconciled_at": events.sparkSession.range(1).select(L.utc_text(run[1])).first()[0], "reconciliation_status": "present"}
     ordered = rows.repartition("external_id").sortWithinPartitions("external_id", F.desc("stored"), "seq", "source_event_id", "version", "raw_payload")
-    return typed(ordered.mapInArrow(_fold(seq, stamps), _ddl(_OUTPUT, seq)))
+    return typed(ordered.mapInArrow(_fold(seq, stamps, columns, only_last, at_last), _ddl(columns, seq)))
 
 
 def state_after(acted: DataFrame) -> DataFrame:
@@ -174,10 +234,16 @@ def state_after(acted: DataFrame) -> DataFrame:
     return acted.filter("is_last").select("external_id", *POSTING)
 
 
+def fold_state(events: DataFrame, state: DataFrame | None = None, run: tuple[str, Column] | None = None) -> DataFrame:
+    """`state_after` of `fold_events` where no other row of it is read."""
+    return fold_events(events, state, run, ("external_id", *POSTING), only_last=True)
+
+
 def audit_of(acted: DataFrame) -> DataFrame:
-    """A row for each insert and merge with the values before and after."""
-    before = F.struct(*(F.col(f"previous_{c}").alias(c) for c in AUDITED))
-    return acted.filter(F.col("action").isin("insert", "merge")).select("external_id", "seq", F.col("action").alias("change_kind"), F.when(F.col("action") == "merge", before).alias("previous_values"), F.struct(*AUDITED).alias("new_values"))
+    """A row for each insert and merge with the values before and after, as far as acted has both."""
+    own = [c for c in AUDITED if {c, f"previous_{c}"} <= set(acted.columns)]
+    before = F.struct(*(F.col(f"previous_{c}").alias(c) for c in own))
+    return acted.filter(F.col("action").isin("insert", "merge")).select("external_id", "seq", F.col("action").alias("change_kind"), F.when(F.col("action") == "merge", before).alias("previous_values"), F.struct(*own).alias("new_values"))
 
 
 def posting_hash(rows: DataFrame) -> Column:

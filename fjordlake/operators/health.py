@@ -10,6 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _COUNTERS = "metric string, at timestamp, n long"
+#: Metrics with a counter for each time.
+_TIMED = ("active_expires",)
+
+
+#: What is counted of audit rows, before and after.
+COUNTED = ("status", "expires_at", "has_detail", "source_event_version")
 
 
 def _counted(values: str) -> list[tuple[str, Column, Column]]:
@@ -32,10 +38,18 @@ def _counted(values: str) -> list[tuple[str, Column, Column]]:
 
 def health_changes(audit: DataFrame) -> DataFrame:
     """What audit rows (previous_values, new_values) add to the counters."""
-    changes = [F.struct(F.lit(m).alias("metric"), at.alias("at"), F.when(counts, F.lit(sign)).otherwise(0).cast("long").alias("n")) for values, sign in (("previous_values", -1), ("new_values", 1)) for m, at, counts in _counted(values)]
-    sums = audit.select(F.explode(F.array(*changes)).alias("x")).select("x.*").filter(F.col("n") != 0).groupBy("metric", "at").agg(F.sum("n").alias("n"))
-    newest = audit.agg(F.max("new_values.source_event_version").alias("at")).filter(F.col("at").isNotNull()).select(F.lit("newest").alias("metric"), "at", F.lit(1).cast("long").alias("n"))
-    return sums.unionByName(newest)
+    once = lambda counts, sign: F.when(counts, F.lit(sign)).otherwise(0)
+    before, after = (_counted(values) for values in ("previous_values", "new_values"))
+    plain = [(m, F.sum(once(was, -1) + once(now, 1))) for (m, _, was), (_, _, now) in zip(before, after) if m not in _TIMED]
+    one = audit.agg(*(n.cast("long").alias(m) for m, n in plain), F.max("new_values.source_event_version").alias("newest"))
+    none, n = F.lit(None).cast("timestamp"), lambda c: F.col(c).cast("long").alias("n")
+    counters = [F.struct(F.lit(m).alias("metric"), none.alias("at"), n(m)) for m, _ in plain] + [F.struct(F.lit("newest").alias("metric"), F.col("newest").alias("at"), F.when(F.col("newest").isNotNull(), 1).cast("long").alias("n"))]
+    sums = one.select(F.explode(F.array(*counters)).alias("x")).select("x.*").filter(F.col("n") != 0)
+    # a row's own changes that cancel out make no row
+    timed = [F.struct(F.lit(m).alias("metric"), at.alias("at"), F.lit(sign).cast("long").alias("n"), counts.alias("counts")) for sign, values in ((-1, before), (1, after)) for m, at, counts in values if m in _TIMED]
+    same = F.col("previous_values.status").eqNullSafe(F.col("new_values.status")) & F.col("previous_values.expires_at").eqNullSafe(F.col("new_values.expires_at"))
+    dated = audit.filter(F.col("previous_values").isNull() | ~same).select(F.explode(F.filter(F.array(*timed), lambda x: x["counts"])).alias("x"))
+    return sums.unionByName(dated.select("x.metric", "x.at", "x.n").groupBy("metric", "at").agg(F.sum("n").alias("n")).filter(F.col("n") != 0))
 
 
 def add_health(counters: DataFrame | None, audit: DataFrame) -> DataFrame:

@@ -121,12 +121,15 @@ VOLATILE = ("imported_at", "mirror_observed_at", "last_polled_at", "nav_inactive
 def _stable(value):
     """A JSON value without volatile keys."""
     if isinstance(value, dict):
-        return {k: _stable(v) for k, v in value.items() if k not in VOLATILE}
+        return {k: _stable(v) if isinstance(v, (dict, list)) else v for k, v in value.items() if k not in VOLATILE}
     return [_stable(v) for v in value] if isinstance(value, list) else value
 
 
+_JSON = json.JSONEncoder(sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
 def compact_json(value) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return _JSON.encode(value)
 
 
 #: A key that an object does not have, in contrast to one that is null.
@@ -140,8 +143,17 @@ def _richer(stored, incoming):
     if stored is _ABSENT or stored is None:
         return incoming
     if isinstance(stored, dict) and isinstance(incoming, dict):
-        return {k: _richer(stored.get(k, _ABSENT), incoming.get(k, _ABSENT)) for k in stored.keys() | incoming.keys()}
-    return stored if incoming in ("", [], {}) and not isinstance(incoming, (bool, int, float)) else incoming
+        out = {k: {} if v is None else v for k, v in stored.items()}
+        for k, v in incoming.items():  # as a call for each key would give it, which only objects in both need
+            known = stored.get(k)
+            if v is None:
+                out.setdefault(k, {})
+            elif known is None or v.__class__ is not dict and (v or v.__class__ not in (str, list)):
+                out[k] = v
+            elif v.__class__ is dict:
+                out[k] = _richer(known, v)
+        return out
+    return incoming if incoming or not isinstance(incoming, (str, list, dict)) else stored
 
 
 def canonical_json(payload: Column) -> Column:

@@ -225,10 +225,10 @@ _FINAL = lambda rows: f"SELECT 'r1' AS run_id, external_id, status AS final_stat
 _SNAPSHOT = _FINAL(_LATE)
 
 
-def late(found: DataFrame, parts: int, of: int) -> DataFrame:
-    """Events behind that share of the feed."""
+def late(found: DataFrame, parts: int, of: int, how: str = "left_semi") -> DataFrame:
+    """Events behind that share of the feed; with left_anti all others."""
     end = found.agg((F.max("seq") * parts).alias("end"))
-    return found.join(F.broadcast(end), F.col("seq") * of > F.col("end"), "left_semi")
+    return found.join(F.broadcast(end), F.col("seq") * of > F.col("end"), how)
 
 
 def snapshot(spark, sf_dir) -> DataFrame:
