@@ -72,9 +72,8 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """In two batches: the first half of the feed, then the second on the postings it left."""
     found = feed(spark, sf_dir)
-    second = late(found, 1, 2)
-    state = fold.state_after(fold.fold_events(found.join(second.select("seq"), "seq", "left_anti")))
-    after = fold.state_after(fold.fold_events(second, state))
+    state = fold.fold_state(late(found, 1, 2, "left_anti"))
+    after = fold.fold_state(late(found, 1, 2), state)
     return after.select("external_id", us("source_event_version").alias("source_event_version"), "source_event_id", "payload_hash", merge.canonical_json(F.col("raw_payload")).alias("payload"), "title", "location", "status", us("date_modified").alias("date_modified"), "application_due")
 
 
