@@ -65,7 +65,7 @@ _LAST = _APPLIED + ", s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITIO
 
 @query("merge_payload_actions", _APPLIED + "SELECT external_id, seq, action, new_hash AS payload_hash, source_event_id FROM r")
 def _(spark, sf_dir):
-    return fold.fold_events(feed(spark, sf_dir)).select("external_id", "seq", "action", "payload_hash", "source_event_id")
+    return fold.fold_events(feed(spark, sf_dir), columns=("external_id", "seq", "action", "payload_hash", "source_event_id"))
 
 
 @query("merge_payload_events", _LAST + "SELECT external_id, epoch_us(source_event_version) AS source_event_version, source_event_id, new_hash AS payload_hash, CAST(payload AS VARCHAR) AS payload, title, location, status, epoch_us(date_modified) AS date_modified, application_due FROM s")
