@@ -90,9 +90,8 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """The feed's second half as a reconcile run on the postings that the first left: what it writes is stamped, a no_op is not."""
     found = feed(spark, sf_dir)
-    second = late(found, 1, 2)
-    state = fold.state_after(fold.fold_events(found.join(second.select("seq"), "seq", "left_anti")))
-    after = fold.state_after(fold.fold_events(second, state, ("r1", now())))
+    state = fold.fold_state(late(found, 1, 2, "left_anti"))
+    after = fold.fold_state(late(found, 1, 2), state, ("r1", now()))
     return after.select("external_id", "last_reconciled_run_id", us("last_reconciled_at").alias("last_reconciled_at"), "reconciliation_status")
 
 
