@@ -79,7 +79,8 @@ def _(spark, sf_dir):
 
 @query("merge_payload_audit", _APPLIED + ", b AS (SELECT *, lag(new_hash) OVER (PARTITION BY external_id ORDER BY seq) AS old_hash, lag(source_event_version) OVER (PARTITION BY external_id ORDER BY seq) AS old_version, lag(title) OVER (PARTITION BY external_id ORDER BY seq) AS old_title FROM r) SELECT external_id, seq, action AS change_kind, CASE WHEN action = 'merge' THEN old_hash END AS previous_hash, CASE WHEN action = 'merge' THEN epoch_us(old_version) END AS previous_version, CASE WHEN action = 'merge' THEN old_title END AS previous_title, new_hash, epoch_us(source_event_version) AS new_version FROM b WHERE action IN ('insert', 'merge')")
 def _(spark, sf_dir):
-    audit = fold.audit_of(fold.fold_events(feed(spark, sf_dir)))
+    audited = ("payload_hash", "source_event_version", "title")
+    audit = fold.audit_of(fold.fold_events(feed(spark, sf_dir), columns=("external_id", "seq", "action", *audited, *(f"previous_{c}" for c in audited))))
     return audit.select(
         "external_id", "seq", "change_kind", F.col("previous_values.payload_hash").alias("previous_hash"), us("previous_values.source_event_version").alias("previous_version"), F.col("previous_values.title").alias("previous_title"),
         F.col("new_values.payload_hash").alias("new_hash"), us("new_values.source_event_version").alias("new_version"),
